@@ -1 +1,58 @@
-"""Queries."""
+"""Queries on patches of a class map."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from landseries.operators import patches as op
+from landseries.plans.registry import query
+from landseries.sources.views import Tables
+
+
+@query("rg1_patches", """SELECT x, y, label, m AS patch FROM (SELECT x, y, label, min(fy * 2147483648 + fx) AS m FROM (
+  SELECT b.x, b.y, b.label, r.x AS fx, r.y AS fy FROM reach r JOIN blocky b ON b.x = r.tx AND b.y = r.ty) GROUP BY 1, 2, 3)""",
+       """reach(x, y, tx, ty) AS (SELECT x, y, x, y FROM blocky UNION SELECT r.x, r.y, c.x, c.y FROM reach r JOIN blocky s ON s.x = r.tx AND s.y = r.ty
+  JOIN blocky c ON c.label = s.label AND abs(c.x - s.x) <= 1 AND abs(c.y - s.y) <= 1)""")
+def patches(t: Tables) -> DataFrame:
+    return op.patches(t.blocky)
+
+
+@query("rg1_patch_sizes")
+def patch_sizes(t: Tables) -> DataFrame:
+    return op.patches(t.blocky, eight=False).groupBy("patch", "label").agg(F.count("*").alias("n"))
+
+
+@query("rg2_sieve")
+def sieve(t: Tables) -> DataFrame:
+    return op.sieve_once(op.sieve_once(t.blocky, 4, True), 4, False)
+
+
+@query("rg7_local_majority", """SELECT x, y, label FROM (SELECT a.x, a.y, b.label, row_number() OVER (PARTITION BY a.x, a.y ORDER BY count(*) DESC, b.label) AS k
+  FROM blocky a JOIN blocky b ON b.x BETWEEN a.x - 1 AND a.x + 1 AND b.y BETWEEN a.y - 1 AND a.y + 1 GROUP BY a.x, a.y, b.label) WHERE k = 1""")
+def local_majority(t: Tables) -> DataFrame:
+    return op.local_majority(t.blocky)
+
+
+@query("rg8_opening", """SELECT a.x, a.y, max(e.v) AS v FROM blocky a JOIN e ON e.x BETWEEN a.x - 1 AND a.x + 1 AND e.y BETWEEN a.y - 1 AND a.y + 1 GROUP BY 1, 2""",
+       """e AS (SELECT a.x, a.y, min(CASE WHEN b.label = 2 THEN 1 ELSE 0 END) AS v FROM blocky a JOIN blocky b ON b.x BETWEEN a.x - 1 AND a.x + 1 AND b.y BETWEEN a.y - 1 AND a.y + 1 GROUP BY 1, 2)""")
+def opening(t: Tables) -> DataFrame:
+    v = t.blocky.select("x", "y", (F.col("label") == 2).cast("int").alias("v"))
+    return op.morphology(op.morphology(v, dilate=False), dilate=True)
+
+
+@query("rg9_label_contacts", "SELECT a.label, b.label AS n_label, count(*) AS n FROM blocky a JOIN blocky b ON abs(a.x - b.x) + abs(a.y - b.y) = 1 AND a.x BETWEEN b.x - 1 AND b.x + 1 AND a.y BETWEEN b.y - 1 AND b.y + 1 WHERE a.label <> b.label GROUP BY 1, 2")
+def contacts(t: Tables) -> DataFrame:
+    return op.neighbours(t.blocky).where("label != n_label").groupBy("label", "n_label").agg(F.count("*").alias("n"))
+
+
+@query("vt10_boundary_edges", "SELECT label, CAST(sum(4 - n) AS BIGINT) AS edges FROM (SELECT a.x, a.y, a.label, count(b.x) AS n FROM blocky a LEFT JOIN blocky b ON b.label = a.label AND abs(a.x - b.x) + abs(a.y - b.y) = 1 AND b.x BETWEEN a.x - 1 AND a.x + 1 GROUP BY 1, 2, 3) GROUP BY 1")
+def boundary(t: Tables) -> DataFrame:
+    inside = op.neighbours(t.blocky).where("label = n_label").groupBy("x", "y").agg(F.count("*").alias("n"))
+    return t.blocky.join(inside, ["x", "y"], "left").groupBy("label").agg(F.sum(4 - F.coalesce("n", F.lit(0))).alias("edges"))
+
+
+@query("pf18_focal_mean", "SELECT a.x, a.y, round(avg(b.conf), 6) AS mean FROM grid a JOIN grid b ON b.x BETWEEN a.x - 1 AND a.x + 1 AND b.y BETWEEN a.y - 1 AND a.y + 1 GROUP BY 1, 2")
+def focal_mean(t: Tables) -> DataFrame:
+    n = op.neighbours(t.grid.select("x", "y", "conf"), (*op.EIGHT, (0, 0)))
+    return n.groupBy("x", "y").agg(F.round(F.avg("n_conf"), 6).alias("mean"))

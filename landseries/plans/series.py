@@ -210,10 +210,10 @@ def sorted_days(t: Tables) -> DataFrame:
     return days.select("pixel", *(F.col("days")[k].alias(f"d{k + 1}") for k in range(3)))
 
 
-@query("ts9_seasonal_summary", "SELECT pixel, band, round(sum(value), 2) AS cumulative, round(min(value), 6) AS minimum, round(stddev_pop(value) / (avg(value) + 1e-6), 6) AS variation FROM filled GROUP BY 1, 2", GRID_SQL)
+@query("ts9_seasonal_summary", "SELECT pixel, band, round(sum(value), 7) AS cumulative, round(min(value), 7) AS minimum, round(stddev_pop(value) / (avg(value) + 1e-6), 6) AS variation FROM filled GROUP BY 1, 2", GRID_SQL)
 def seasonal(t: Tables) -> DataFrame:
     s = ts.seasonal_summary(gap_filled(t), KEYS)
-    return s.select(*KEYS, F.round("cumulative", 2).alias("cumulative"), F.round("minimum", 6).alias("minimum"), F.round("variation", 6).alias("variation"))
+    return s.select(*KEYS, F.round("cumulative", 7).alias("cumulative"), F.round("minimum", 7).alias("minimum"), F.round("variation", 6).alias("variation"))
 
 
 @query("ts10_best_reference_date", """SELECT tile, date FROM (SELECT tile, date, row_number() OVER (PARTITION BY tile ORDER BY score DESC, date) AS k FROM (

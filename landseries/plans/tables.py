@@ -204,9 +204,9 @@ def class_statistics(t: Tables) -> DataFrame:
     return op.zone_statistics(t.zones.where("class = 3"), "zone", ["b1", "b2"])
 
 
-@query("zs10_product_layout", "SELECT zone, CAST(avg(b1) AS DECIMAL(6, 2)) AS validity, CAST(sum(b1) AS DECIMAL(10, 2)) AS area FROM zones GROUP BY 1")
+@query("zs10_product_layout", "SELECT zone, CAST(CAST(avg(b1) AS DECIMAL(6, 2)) AS DOUBLE) AS validity, CAST(CAST(sum(b1) AS DECIMAL(10, 2)) AS DOUBLE) AS area FROM zones GROUP BY 1")
 def product_layout(t: Tables) -> DataFrame:
-    return t.zones.groupBy("zone").agg(F.avg("b1").cast("decimal(6,2)").alias("validity"), F.sum("b1").cast("decimal(10,2)").alias("area"))
+    return t.zones.groupBy("zone").agg(F.avg("b1").cast("decimal(6,2)").cast("double").alias("validity"), F.sum("b1").cast("decimal(10,2)").cast("double").alias("area"))
 
 
 @query("zs12_pivoted_shares", "SELECT zone, " + ", ".join(f"round(count(*) FILTER (class = {k}) * 100.0 / count(*), 2) AS class_{k}" for k in range(2, 9)) + " FROM zones GROUP BY 1")
