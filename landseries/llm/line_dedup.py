@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,122 +15,146 @@ from landseries.llm.common import staged
 from landseries.llm.tokens import batches_of, mix, word_hashes
 
 #: Words are counted by hash in this many buckets, a table of fixed size.
-BUCKETS, CHUNK = 1 << 22, 1 << 14
+BUCKETS, CHUNK = 1 << 23, 1 << 15
 
 
-def line_sets(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(text, line, sorted distinct 32-bit word hashes) of every line with a word."""
+def line_sets(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+    """For runs of texts: (text, line, sig, size, words) of every line with a word.
+
+    words holds the sorted distinct 32-bit word hashes of all lines, one after the other;
+    sig is a 64-bit hash of the set: lines of one sig are one class.
+    """
     for i, j in batches_of(texts):
         raw = np.frombuffer(b"\n".join(texts[i:j]) + b"\n", np.uint8)
         starts, _, hashes = word_hashes(raw)
         if not len(starts):
             continue
-        line = np.concatenate([[0], np.cumsum(raw == 10)])[starts]  # counted over all texts of the run
-        first = np.concatenate([[0], np.cumsum([t.count(b"\n") + 1 for t in texts[i:j]])])
-        both = np.unique(line.astype(np.uint64) << np.uint64(32) | hashes >> np.uint64(32))
-        line, word = (both >> np.uint64(32)).astype(np.int64), both.astype(np.uint32)
+        line = np.searchsorted(np.nonzero(raw == 10)[0], starts).astype(np.uint64)  # counted over all texts of the run
+        both = np.sort(line << np.uint64(32) | hashes >> np.uint64(32))
+        both = both[np.concatenate([[True], both[1:] != both[:-1]])]
+        line, words = (both >> np.uint64(32)).astype(np.int64), both.astype(np.uint32)
         cuts = np.nonzero(np.diff(line, prepend=-1))[0]
+        size = np.diff(np.append(cuts, len(line)))
+        sig = mix(np.add.reduceat(mix(words.astype(np.uint64)), cuts) + size.astype(np.uint64)).view(np.int64)
+        first = np.concatenate([[0], np.cumsum([t.count(b"\n") + 1 for t in texts[i:j]])])
         text = np.searchsorted(first, line[cuts], "right") - 1
-        for t, n, a, b in zip(text, line[cuts], cuts, np.append(cuts[1:], len(line)), strict=True):
-            yield i + int(t), int(n - first[t]), word[a:b]
+        yield i + text, line[cuts] - first[text], sig, size, words
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, sig, size, words): the word set of every line that has a word.
+def binary_column(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Consecutive stretches of 32-bit numbers as binary values."""
+    ends = np.concatenate([[0], np.cumsum(sizes * 4)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
 
-    sig is a 64-bit hash of the set: lines of one sig are one class.
-    """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def numbers_of(column: pa.Array) -> np.ndarray:
+    """The 32-bit numbers of a binary column without nulls, one after the other."""
+    if not len(column):
+        return np.zeros(0, np.uint32)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(np.uint32)
+
+
+def lines_of(docs: DataFrame, with_words: bool = False) -> DataFrame:
+    """(doc_id, line_no, sig[, size, words]) of every line that has a word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, rows = b["doc_id"].to_numpy(), []
-            for t, n, w in line_sets([(t or "").encode("utf-8", "surrogatepass").lower() for t in b["text"]]):
-                w64 = w.astype(np.uint64)
-                sig = mix(np.array([mix(w64).sum() + np.uint64(len(w))], np.uint64)).view(np.int64)[0]
-                rows.append((ids[t], n, sig, len(w), w.tobytes()))
-                if len(rows) >= 50_000:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows = []
-            yield pd.DataFrame(rows, columns=names)
+            ids = b["doc_id"].to_numpy(zero_copy_only=False)
+            texts = [(t or "").encode("utf-8", "surrogatepass").lower() for t in b["text"].to_pylist()]
+            for text, line, sig, size, words in line_sets(texts):
+                columns = {"doc_id": pa.array(ids[text], pa.int64()), "line_no": pa.array(line.astype(np.int32)), "sig": pa.array(sig)}
+                if with_words:
+                    columns |= {"size": pa.array(size.astype(np.int32)), "words": binary_column(words, size)}
+                yield pa.RecordBatch.from_pydict(columns)
 
-    names = ["doc_id", "line_no", "sig", "size", "words"]
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, line_no int, sig long, size int, words binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, line_no int, sig long" + ", size int, words binary" * with_words)
 
 
-def word_counts(lines: DataFrame) -> np.ndarray:
-    """How many lines hold the words of each of BUCKETS hash buckets, over all lines.
+def classes_of(docs: DataFrame) -> DataFrame:
+    """(sig, first, copies, size, words): the different word sets of all lines, each with its first line."""
+    return lines_of(docs, with_words=True).groupBy("sig").agg(
+        F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("words").alias("words")
+    )
 
-    Each task sends its counts as compressed chunks; two rounds of sums keep groups small.
-    What the driver gets has a fixed size.
+
+def word_counts(classes: DataFrame) -> np.ndarray:
+    """How many classes hold the words of each of BUCKETS hash buckets, over all classes, up to 65535.
+
+    Each task sends its counts as compressed chunks, which are summed in groups of 64 tasks
+    until one is left. What the driver gets has a fixed size.
     """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(BUCKETS, np.int64)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, np.uint32)
         for b in batches:
-            if len(b):
-                words = np.frombuffer(b"".join(b["words"]), np.uint32)
-                v, n = np.unique(words & np.uint32(BUCKETS - 1), return_counts=True)
-                total[v] += n
+            v, n = np.unique(numbers_of(b["words"]) & np.uint32(BUCKETS - 1), return_counts=True)
+            total[v] += n.astype(np.uint32)
         parts = total.reshape(-1, CHUNK)
         some = np.nonzero(parts.any(axis=1))[0]
-        yield pd.DataFrame({"chunk": some.astype(np.int32), "counts": [zlib.compress(parts[k].tobytes(), 1) for k in some]})
+        yield pa.RecordBatch.from_pydict({"chunk": pa.array(some.astype(np.int32)), "counts": pa.array([zlib.compress(parts[k], 1) for k in some], pa.binary())})
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(c), np.int64) for c in pdf["counts"])
-        return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1].astype(np.int32), "counts": [zlib.compress(total.tobytes(), 1)]})
-
-    parts = lines.select("words").mapInPandas(count, "chunk int, counts binary").withColumn("part", F.spark_partition_id() % 256)
-    once = parts.groupBy("chunk", "part").applyInPandas(add, "chunk int, counts binary")
-    rows = once.groupBy("chunk").applyInPandas(add, "chunk int, counts binary").collect()
-    out = np.zeros((BUCKETS // CHUNK, CHUNK), np.int64)
-    for chunk, counts in rows:
-        out[chunk] = np.frombuffer(zlib.decompress(counts), np.int64)
+        total = np.zeros(CHUNK, np.uint64)
+        for c in pdf["counts"]:
+            total += np.frombuffer(zlib.decompress(c), np.uint32)
+        total = np.minimum(total, 2**31).astype(np.uint32)
+        return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "part": pdf["part"].iloc[:1], "counts": [zlib.compress(total, 1)]})
+
+    words = classes.select("words")
+    left = words.rdd.getNumPartitions()
+    rows = words.mapInArrow(count, "chunk int, counts binary").withColumn("part", F.spark_partition_id())
+    while left > 1:
+        left = -(-left // 64)
+        rows = rows.withColumn("part", F.floor(F.col("part") / 64).cast("int")).groupBy("chunk", "part").applyInPandas(add, "chunk int, part int, counts binary")
+    out = np.zeros((BUCKETS // CHUNK, CHUNK), np.uint16)
+    for chunk, counts in rows.select("chunk", "counts").collect():
+        out[chunk] = np.minimum(np.frombuffer(zlib.decompress(counts), np.uint32), 65535)
     return out.ravel()
 
 
-def prefix_rows(lines: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
+def prefix_rows(classes: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
     """(word, sig, size, pos, b0, b1): each class's rarest words, as many as the prefix filter needs.
 
     Sets that share at least o = ceil(similarity * size) words share one among the first
-    size - o + 1 of each under any common order; rarest first makes for few partners. b0 and
-    b1 are a bitmap of the set, from which a lower bound of two sets' difference follows.
+    size - o + 1 of each under any common order; rarest first makes for few partners. A word
+    alone in its bucket is in one class only and has no partner to meet. b0 and b1 are a
+    bitmap of the set, from which a lower bound of two sets' difference follows.
     """
-    rank = np.minimum(counts, np.iinfo(np.uint32).max).astype(np.uint32)
-    shared = lines.sparkSession.sparkContext.broadcast(rank)
+    shared = classes.sparkSession.sparkContext.broadcast(counts)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not len(b):
                 continue
-            sizes = b["size"].to_numpy(np.int64)
-            words = np.frombuffer(b"".join(b["words"]), np.uint32)
+            sizes = b["size"].to_numpy().astype(np.int64)
+            words = numbers_of(b["words"])
             row = np.repeat(np.arange(len(b)), sizes)
             bit = mix(words.astype(np.uint64)) & np.uint64(127)
             maps = np.zeros((len(b), 2), np.uint64)
             np.bitwise_or.at(maps, (row, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
-            key = shared.value[words & np.uint32(BUCKETS - 1)].astype(np.uint64) << np.uint64(32) | words
-            order = np.lexsort((key, row))
+            rank = shared.value[words & np.uint32(BUCKETS - 1)]
+            order = np.lexsort((rank.astype(np.uint64) << np.uint64(32) | words, row))
             pos = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             need = sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1
-            keep = pos < need[row]
-            row, pos, words = row[keep], pos[keep], words[order][keep]
-            yield pd.DataFrame({
-                "word": words.astype(np.int64), "sig": b["sig"].to_numpy()[row], "size": sizes[row].astype(np.int32), "pos": pos.astype(np.int32),
-                "b0": maps[row, 0].view(np.int64), "b1": maps[row, 1].view(np.int64),
-            })
+            words, rank = words[order], rank[order]
+            keep = (pos < need[row]) & (rank > 1)
+            row, pos, words = row[keep], pos[keep], words[keep]
+            columns = (words.astype(np.int64), b["sig"].to_numpy()[row], sizes[row].astype(np.int32), pos.astype(np.int32), maps[row, 0].view(np.int64), maps[row, 1].view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["word", "sig", "size", "pos", "b0", "b1"])
 
-    return lines.select("sig", "size", "words").mapInPandas(run, "word long, sig long, size int, pos int, b0 long, b1 long")
+    return classes.select("sig", "size", "words").mapInArrow(run, "word long, sig long, size int, pos int, b0 long, b1 long")
 
 
-def similar_classes(lines: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """(x, y), x < y: the pairs of different word sets with Jaccard >= similarity; lines: a stored table."""
-    index = prefix_rows(lines, word_counts(lines), similarity)
-    index = staged(index.repartition("word").dropDuplicates(["word", "sig"]))
+def similar_classes(classes: DataFrame, similarity: float = 0.8) -> DataFrame:
+    """(x, y), x < y: the pairs of different word sets with Jaccard >= similarity; classes: a stored table."""
+    # both sides of the join read one exchange
+    index = prefix_rows(classes, word_counts(classes), similarity).repartition("word")
     a = index.select(*(F.col(c).alias(f"a_{c}") for c in index.columns))
     b = index.select(*(F.col(c).alias(f"b_{c}") for c in index.columns))
     both = F.col("a_size") + F.col("b_size")
     needed = F.lit(similarity / (1 + similarity)) * both - 1e-9  # the least number of common words
-    room = 1 + F.least(F.col("a_size") - F.col("a_pos"), F.col("b_size") - F.col("b_pos")) - 1
+    room = F.least(F.col("a_size") - F.col("a_pos"), F.col("b_size") - F.col("b_pos"))
     apart = F.bit_count(F.col("a_b0").bitwiseXOR(F.col("b_b0"))) + F.bit_count(F.col("a_b1").bitwiseXOR(F.col("b_b1")))
     found = a.join(
         b,
@@ -138,20 +163,22 @@ def similar_classes(lines: DataFrame, similarity: float = 0.8) -> DataFrame:
         & (room >= needed) & ((both - apart) / 2 >= needed),
     )
     pairs = staged(found.select(F.col("a_sig").alias("x"), F.col("b_sig").alias("y")).distinct())
-    named = staged(pairs.select(F.explode(F.array("x", "y")).alias("sig")).distinct())
-    sets = staged(lines.select("sig", "words").join(named, "sig", "left_semi").dropDuplicates(["sig"]))
+    named = pairs.select(F.explode(F.array("x", "y")).alias("sig")).distinct()
+    sets = staged(classes.select("sig", "words").join(named, "sig", "left_semi"))
     checked = pairs.join(sets.select(F.col("sig").alias("x"), F.col("words").alias("xs")), "x").join(sets.select(F.col("sig").alias("y"), F.col("words").alias("ys")), "y")
 
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
-            keep = []
-            for p, q in zip(t["xs"], t["ys"], strict=True):
-                p, q = np.frombuffer(p, np.uint32), np.frombuffer(q, np.uint32)
-                common = len(p) + len(q) - len(np.unique(np.concatenate([p, q])))
-                keep.append(common >= similarity * (len(p) + len(q) - common) - 1e-9)
-            yield t.loc[np.array(keep, bool), ["x", "y"]]
+            if not len(t):
+                continue
+            m, n = (np.diff(np.frombuffer(t[c].buffers()[1], np.int32)[t[c].offset : t[c].offset + len(t) + 1]) // 4 for c in ("xs", "ys"))
+            row = np.arange(len(t), dtype=np.uint64) << np.uint64(32)
+            both = np.sort(np.concatenate([np.repeat(row, m) | numbers_of(t["xs"]), np.repeat(row, n) | numbers_of(t["ys"])]))
+            twice = both[1:][both[1:] == both[:-1]] >> np.uint64(32)
+            common = np.bincount(twice.astype(np.int64), minlength=len(t))
+            yield t.select(["x", "y"]).filter(pa.array(common >= similarity * (m + n - common) - 1e-9))
 
-    return checked.select("x", "y", "xs", "ys").mapInPandas(verify, "x long, y long")
+    return checked.select("x", "y", "xs", "ys").mapInArrow(verify, "x long, y long")
 
 
 def matched_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
@@ -164,12 +191,12 @@ def matched_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     never paired. Null and empty texts have no lines; rows of a null id are left out; ids are
     taken as unique; an empty table gives no rows.
     """
-    lines = staged(lines_of(docs.where("doc_id is not null")))
-    classes = staged(lines.groupBy("sig").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("copies")))
-    pairs = staged(similar_classes(lines, similarity))
+    docs = docs.where("doc_id is not null")
+    classes = staged(classes_of(docs))
+    pairs = staged(similar_classes(classes, similarity))
     both = pairs.unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y")))
     partners = (
-        both.join(classes.withColumnRenamed("sig", "y"), "y")
+        both.join(classes.select(F.col("sig").alias("y"), "first", "copies"), "y")
         .groupBy("x").agg(F.min("first").alias("other"), F.sum("copies").alias("more"))
     )
     of_class = staged(
@@ -177,7 +204,7 @@ def matched_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
             "sig", F.least("first", F.coalesce("other", "first")).alias("first"), (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n_links")
         )
     )
-    return lines.select("doc_id", "line_no", "sig").join(of_class, "sig").select(
+    return lines_of(docs).join(of_class, "sig").select(
         "doc_id", "line_no", "n_links", F.col("first.doc_id").alias("first_doc"), F.col("first.line_no").alias("first_line"),
         (F.struct("doc_id", "line_no") != F.col("first")).alias("removed"),
     )
