@@ -16,6 +16,8 @@ from landseries.llm.tokens import batches_of, mix, word_hashes
 
 #: Words are counted by hash in this many buckets, a table of fixed size.
 BUCKETS, CHUNK = 1 << 23, 1 << 15
+#: Words of more classes than this are compared in tiles.
+COMMON = 300
 
 
 def line_sets(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -113,15 +115,20 @@ def word_counts(classes: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def prefix_rows(classes: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
-    """(word, sig, size, pos, b0, b1): each class's rarest words, as many as the prefix filter needs.
+def order_keys(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Words as numbers in the common order: by how many classes hold their bucket, then by hash."""
+    return counts[words & np.uint32(BUCKETS - 1)].astype(np.int64) << 32 | words
+
+
+def prefix_rows(classes: DataFrame, counts, similarity: float, common: bool) -> DataFrame:
+    """(key, sig, size, pos, b0, b1): each class's rarest words, as many as the prefix filter needs.
 
     Sets that share at least o = ceil(similarity * size) words share one among the first
     size - o + 1 of each under any common order; rarest first makes for few partners. A word
     alone in its bucket is in one class only and has no partner to meet. b0 and b1 are a
-    bitmap of the set, from which a lower bound of two sets' difference follows.
+    bitmap of the set, from which a lower bound of two sets' difference follows. common: the
+    words that more than COMMON classes hold, or the others.
     """
-    shared = classes.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -133,23 +140,26 @@ def prefix_rows(classes: DataFrame, counts: np.ndarray, similarity: float) -> Da
             bit = mix(words.astype(np.uint64)) & np.uint64(127)
             maps = np.zeros((len(b), 2), np.uint64)
             np.bitwise_or.at(maps, (row, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
-            rank = shared.value[words & np.uint32(BUCKETS - 1)]
-            order = np.lexsort((rank.astype(np.uint64) << np.uint64(32) | words, row))
+            key = order_keys(words, counts.value)
+            key = key[np.lexsort((key, row))]
             pos = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             need = sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1
-            words, rank = words[order], rank[order]
-            keep = (pos < need[row]) & (rank > 1)
-            row, pos, words = row[keep], pos[keep], words[keep]
-            columns = (words.astype(np.int64), b["sig"].to_numpy()[row], sizes[row].astype(np.int32), pos.astype(np.int32), maps[row, 0].view(np.int64), maps[row, 1].view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["word", "sig", "size", "pos", "b0", "b1"])
+            rank = key >> 32
+            keep = (pos < need[row]) & ((rank > COMMON) if common else (rank > 1) & (rank <= COMMON))
+            row, pos, key = row[keep], pos[keep], key[keep]
+            columns = (key, b["sig"].to_numpy()[row], sizes[row].astype(np.int32), pos.astype(np.int32), maps[row, 0].view(np.int64), maps[row, 1].view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "sig", "size", "pos", "b0", "b1"])
+
+    return classes.select("sig", "size", "words").mapInArrow(run, "key long, sig long, size int, pos int, b0 long, b1 long")
 
-    return classes.select("sig", "size", "words").mapInArrow(run, "word long, sig long, size int, pos int, b0 long, b1 long")
 
+def pairs_by_rare_word(classes: DataFrame, counts, similarity: float) -> DataFrame:
+    """(x, y): similar classes whose first common word is not a common one; each pair once.
 
-def similar_classes(classes: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """(x, y), x < y: the pairs of different word sets with Jaccard >= similarity; classes: a stored table."""
+    A group holds at most COMMON classes, so the rows stay in proportion to the input.
+    """
     # both sides of the join read one exchange
-    index = prefix_rows(classes, word_counts(classes), similarity).repartition("word")
+    index = prefix_rows(classes, counts, similarity, common=False).repartition("key")
     a = index.select(*(F.col(c).alias(f"a_{c}") for c in index.columns))
     b = index.select(*(F.col(c).alias(f"b_{c}") for c in index.columns))
     both = F.col("a_size") + F.col("b_size")
@@ -158,11 +168,11 @@ def similar_classes(classes: DataFrame, similarity: float = 0.8) -> DataFrame:
     apart = F.bit_count(F.col("a_b0").bitwiseXOR(F.col("b_b0"))) + F.bit_count(F.col("a_b1").bitwiseXOR(F.col("b_b1")))
     found = a.join(
         b,
-        (F.col("a_word") == F.col("b_word")) & (F.col("a_sig") < F.col("b_sig"))
+        (F.col("a_key") == F.col("b_key")) & (F.col("a_sig") < F.col("b_sig"))
         & (F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * similarity - 1e-9)
         & (room >= needed) & ((both - apart) / 2 >= needed),
     )
-    pairs = staged(found.select(F.col("a_sig").alias("x"), F.col("b_sig").alias("y")).distinct())
+    pairs = staged(found.groupBy(F.col("a_sig").alias("x"), F.col("b_sig").alias("y")).agg(F.min("a_key").alias("key")))
     named = pairs.select(F.explode(F.array("x", "y")).alias("sig")).distinct()
     sets = staged(classes.select("sig", "words").join(named, "sig", "left_semi"))
     checked = pairs.join(sets.select(F.col("sig").alias("x"), F.col("words").alias("xs")), "x").join(sets.select(F.col("sig").alias("y"), F.col("words").alias("ys")), "y")
@@ -174,11 +184,57 @@ def similar_classes(classes: DataFrame, similarity: float = 0.8) -> DataFrame:
             m, n = (np.diff(np.frombuffer(t[c].buffers()[1], np.int32)[t[c].offset : t[c].offset + len(t) + 1]) // 4 for c in ("xs", "ys"))
             row = np.arange(len(t), dtype=np.uint64) << np.uint64(32)
             both = np.sort(np.concatenate([np.repeat(row, m) | numbers_of(t["xs"]), np.repeat(row, n) | numbers_of(t["ys"])]))
-            twice = both[1:][both[1:] == both[:-1]] >> np.uint64(32)
-            common = np.bincount(twice.astype(np.int64), minlength=len(t))
-            yield t.select(["x", "y"]).filter(pa.array(common >= similarity * (m + n - common) - 1e-9))
+            twice = both[1:][both[1:] == both[:-1]]
+            row = (twice >> np.uint64(32)).astype(np.int64)
+            shared = np.bincount(row, minlength=len(t))
+            first = np.full(len(t), np.iinfo(np.int64).max)
+            np.minimum.at(first, row, order_keys(twice.astype(np.uint32), counts.value))
+            similar = shared >= similarity * (m + n - shared) - 1e-9
+            yield t.select(["x", "y"]).filter(pa.array(similar & (first == t["key"].to_numpy())))
+
+    return checked.select("x", "y", "key", "xs", "ys").mapInArrow(verify, "x long, y long")
 
-    return checked.select("x", "y", "xs", "ys").mapInArrow(verify, "x long, y long")
+
+def links_by_common_word(classes: DataFrame, counts, similarity: float, tile: int = 256) -> DataFrame:
+    """(sig, other, more): per class and tile pair, the links whose first common word is a common one.
+
+    Groups of any size are dealt into tiles; a task compares two tiles by matrix products
+    over their words and returns sums and minima for each class, never the pairs.
+    """
+    rows = staged(prefix_rows(classes, counts, similarity, common=True).select("key", "sig"))
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
+    dealt = (
+        rows.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("tiles")).cast("int"))
+        .withColumn("k", F.explode(F.expr("sequence(0, tiles - 1)")))
+        .select("key", F.least("own", "k").alias("ti"), F.greatest("own", "k").alias("tj"), "own", "sig")
+        .join(classes.select("sig", "first.doc_id", "first.line_no", "copies", "words"), "sig")
+    )
+
+    def compare(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        key, ti, tj = (int(v) for v in group)
+        pdf = pdf.sort_values(["doc_id", "line_no"], ignore_index=True)
+        own, copies = pdf["own"].to_numpy(), pdf["copies"].to_numpy(np.float64)
+        size = np.array([len(w) // 4 for w in pdf["words"]])
+        words = order_keys(np.frombuffer(b"".join(pdf["words"]), np.uint32), counts.value)
+        names, column = np.unique(words, return_inverse=True)
+        has = np.zeros((len(pdf), len(names)), np.float32)
+        has[np.repeat(np.arange(len(pdf)), size), column] = 1
+        before = int(np.searchsorted(names, key))
+        left, right = np.nonzero(own == ti)[0], np.nonzero(own == tj)[0]
+        shared = has[left] @ has[right].T
+        earlier = has[left, :before] @ has[right, :before].T
+        link = (shared >= similarity * (size[left][:, None] + size[right][None, :] - shared) - 1e-9) & (earlier == 0)
+        if ti == tj:
+            np.fill_diagonal(link, False)
+        out = []
+        for rows_, cols, m in ((left, right, link), (right, left, link.T))[: 1 if ti == tj else 2]:
+            some = np.nonzero(m.any(axis=1))[0] if m.size else np.zeros(0, np.int64)
+            partner = cols[m[some].argmax(axis=1)] if len(some) else some  # rows are in order, so this is the earliest
+            out.append(pd.DataFrame({"sig": pdf["sig"].to_numpy()[rows_[some]], "doc_id": pdf["doc_id"].to_numpy()[partner], "line_no": pdf["line_no"].to_numpy()[partner], "more": (m[some] @ copies[cols]).astype(np.int64)}))
+        return pd.concat(out)
+
+    found = dealt.groupBy("key", "ti", "tj").applyInPandas(compare, "sig long, doc_id long, line_no int, more long")
+    return found.select("sig", F.struct("doc_id", "line_no").alias("other"), "more")
 
 
 def matched_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
@@ -193,12 +249,12 @@ def matched_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """
     docs = docs.where("doc_id is not null")
     classes = staged(classes_of(docs))
-    pairs = staged(similar_classes(classes, similarity))
+    counts = docs.sparkSession.sparkContext.broadcast(word_counts(classes))
+    pairs = staged(pairs_by_rare_word(classes, counts, similarity))
     both = pairs.unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y")))
-    partners = (
-        both.join(classes.select(F.col("sig").alias("y"), "first", "copies"), "y")
-        .groupBy("x").agg(F.min("first").alias("other"), F.sum("copies").alias("more"))
-    )
+    linked = both.join(classes.select(F.col("sig").alias("y"), "first", "copies"), "y").groupBy(F.col("x").alias("sig"))
+    linked = linked.agg(F.min("first").alias("other"), F.sum("copies").alias("more")).unionByName(links_by_common_word(classes, counts, similarity))
+    partners = linked.groupBy(F.col("sig").alias("x")).agg(F.min("other").alias("other"), F.sum("more").alias("more"))
     of_class = staged(
         classes.join(partners, F.col("sig") == F.col("x"), "left").select(
             "sig", F.least("first", F.coalesce("other", "first")).alias("first"), (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n_links")
