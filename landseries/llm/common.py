@@ -21,6 +21,11 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def long_texts(spark: SparkSession, rows: int = 2000) -> None:
+    """Python tasks take at most this many rows at once, for tables of whole documents."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back.
 

@@ -17,7 +17,7 @@ from landseries.llm.tokens import batches_of, mix, word_hashes
 #: Words are counted by hash in this many buckets, a table of fixed size.
 BUCKETS, CHUNK = 1 << 23, 1 << 15
 #: Words of more classes than this are compared in tiles.
-COMMON = 300
+COMMON = 1000
 
 
 def line_sets(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -121,12 +121,13 @@ def order_keys(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def prefix_rows(classes: DataFrame, counts, similarity: float, common: bool) -> DataFrame:
-    """(key, sig, size, pos, b0, b1): each class's rarest words, as many as the prefix filter needs.
+    """(key, sig, place, bits): each class's rarest words, as many as the prefix filter needs.
 
     Sets that share at least o = ceil(similarity * size) words share one among the first
     size - o + 1 of each under any common order; rarest first makes for few partners. A word
-    alone in its bucket is in one class only and has no partner to meet. b0 and b1 are a
-    bitmap of the set, from which a lower bound of two sets' difference follows. common: the
+    alone in its bucket is in one class only and has no partner to meet. place holds the set's
+    size and the word's position; bits is a bitmap of the set, from which a lower bound of
+    two sets' difference follows. common: the
     words that more than COMMON classes hold, or the others.
     """
 
@@ -137,9 +138,9 @@ def prefix_rows(classes: DataFrame, counts, similarity: float, common: bool) ->
             sizes = b["size"].to_numpy().astype(np.int64)
             words = numbers_of(b["words"])
             row = np.repeat(np.arange(len(b)), sizes)
-            bit = mix(words.astype(np.uint64)) & np.uint64(127)
-            maps = np.zeros((len(b), 2), np.uint64)
-            np.bitwise_or.at(maps, (row, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+            bit = mix(words.astype(np.uint64)) & np.uint64(63)
+            maps = np.zeros(len(b), np.uint64)
+            np.bitwise_or.at(maps, row, np.uint64(1) << bit)
             key = order_keys(words, counts.value)
             key = key[np.lexsort((key, row))]
             pos = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -147,10 +148,10 @@ def prefix_rows(classes: DataFrame, counts, similarity: float, common: bool) ->
             rank = key >> 32
             keep = (pos < need[row]) & ((rank > COMMON) if common else (rank > 1) & (rank <= COMMON))
             row, pos, key = row[keep], pos[keep], key[keep]
-            columns = (key, b["sig"].to_numpy()[row], sizes[row].astype(np.int32), pos.astype(np.int32), maps[row, 0].view(np.int64), maps[row, 1].view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "sig", "size", "pos", "b0", "b1"])
+            columns = (key, b["sig"].to_numpy()[row], sizes[row] << 32 | pos, maps[row].view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "sig", "place", "bits"])
 
-    return classes.select("sig", "size", "words").mapInArrow(run, "key long, sig long, size int, pos int, b0 long, b1 long")
+    return classes.select("sig", "size", "words").mapInArrow(run, "key long, sig long, place long, bits long")
 
 
 def pairs_by_rare_word(classes: DataFrame, counts, similarity: float) -> DataFrame:
@@ -162,14 +163,16 @@ def pairs_by_rare_word(classes: DataFrame, counts, similarity: float) -> DataFra
     index = prefix_rows(classes, counts, similarity, common=False).repartition("key")
     a = index.select(*(F.col(c).alias(f"a_{c}") for c in index.columns))
     b = index.select(*(F.col(c).alias(f"b_{c}") for c in index.columns))
-    both = F.col("a_size") + F.col("b_size")
+    size = lambda side: F.shiftright(f"{side}_place", 32)
+    rest = lambda side: size(side) - F.col(f"{side}_place").bitwiseAND(F.lit(0xFFFFFFFF))
+    both = size("a") + size("b")
     needed = F.lit(similarity / (1 + similarity)) * both - 1e-9  # the least number of common words
-    room = F.least(F.col("a_size") - F.col("a_pos"), F.col("b_size") - F.col("b_pos"))
-    apart = F.bit_count(F.col("a_b0").bitwiseXOR(F.col("b_b0"))) + F.bit_count(F.col("a_b1").bitwiseXOR(F.col("b_b1")))
+    room = F.least(rest("a"), rest("b"))
+    apart = F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits")))
     found = a.join(
         b,
         (F.col("a_key") == F.col("b_key")) & (F.col("a_sig") < F.col("b_sig"))
-        & (F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * similarity - 1e-9)
+        & (F.least(size("a"), size("b")) >= F.greatest(size("a"), size("b")) * similarity - 1e-9)
         & (room >= needed) & ((both - apart) / 2 >= needed),
     )
     pairs = staged(found.groupBy(F.col("a_sig").alias("x"), F.col("b_sig").alias("y")).agg(F.min("a_key").alias("key")))

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landseries.llm import embedding_dedup, langid, line_dedup, packing, quality, sentencepiece_lattice, simhash, substring_dedup, suffix_tree, webp
-from landseries.llm.common import staged
+from landseries.llm.common import long_texts, staged
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    long_texts(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
