@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from landseries.llm import langid, line_dedup, packing, simhash, substring_dedup
-from landseries.llm.common import staged
+from landseries.llm.common import long_texts, staged
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language can't be told."""
+    long_texts(spark)
     return langid.keep_identified(docs)
 
 
