@@ -16,7 +16,7 @@ from landseries.llm.tokens import batches_of, mix, word_hashes
 
 #: Words are counted by hash in this many buckets, a table of fixed size.
 BUCKETS, CHUNK = 1 << 23, 1 << 15
-#: Words of more classes than this are compared in tiles.
+#: Groups of more classes than this are compared in tiles.
 COMMON = 1000
 
 
@@ -154,13 +154,13 @@ def prefix_rows(classes: DataFrame, counts, similarity: float, common: bool) ->
     return classes.select("sig", "size", "words").mapInArrow(run, "key long, sig long, place long, bits long")
 
 
-def pairs_by_rare_word(classes: DataFrame, counts, similarity: float) -> DataFrame:
-    """(x, y): similar classes whose first common word is not a common one; each pair once.
+def pairs_in_groups(classes: DataFrame, index: DataFrame, counts, similarity: float) -> DataFrame:
+    """(x, y): similar classes whose first common word is in the index; each pair once.
 
-    A group holds at most COMMON classes, so the rows stay in proportion to the input.
+    A word's group in the index holds at most COMMON classes, so the rows that the join
+    makes stay in proportion to the input.
     """
-    # both sides of the join read one exchange
-    index = prefix_rows(classes, counts, similarity, common=False).repartition("key")
+    index = index.repartition("key")  # both sides of the join read one exchange
     a = index.select(*(F.col(c).alias(f"a_{c}") for c in index.columns))
     b = index.select(*(F.col(c).alias(f"b_{c}") for c in index.columns))
     size = lambda side: F.shiftright(f"{side}_place", 32)
@@ -198,16 +198,15 @@ def pairs_by_rare_word(classes: DataFrame, counts, similarity: float) -> DataFra
     return checked.select("x", "y", "key", "xs", "ys").mapInArrow(verify, "x long, y long")
 
 
-def links_by_common_word(classes: DataFrame, counts, similarity: float, tile: int = 256) -> DataFrame:
-    """(sig, other, more): per class and tile pair, the links whose first common word is a common one.
+def links_in_tiles(classes: DataFrame, crowded: DataFrame, counts, similarity: float, tile: int = 256) -> DataFrame:
+    """(sig, other, more): per class and tile pair, the links whose first common word is in crowded (key, sig, n).
 
     Groups of any size are dealt into tiles; a task compares two tiles by matrix products
     over their words and returns sums and minima for each class, never the pairs.
     """
-    rows = staged(prefix_rows(classes, counts, similarity, common=True).select("key", "sig"))
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
     dealt = (
-        rows.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("tiles")).cast("int"))
+        crowded.withColumn("tiles", F.ceil(F.col("n") / tile).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64("sig"), F.col("tiles")).cast("int"))
         .withColumn("k", F.explode(F.expr("sequence(0, tiles - 1)")))
         .select("key", F.least("own", "k").alias("ti"), F.greatest("own", "k").alias("tj"), "own", "sig")
         .join(classes.select("sig", "first.doc_id", "first.line_no", "copies", "words"), "sig")
@@ -253,10 +252,15 @@ def matched_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     docs = docs.where("doc_id is not null")
     classes = staged(classes_of(docs))
     counts = docs.sparkSession.sparkContext.broadcast(word_counts(classes))
-    pairs = staged(pairs_by_rare_word(classes, counts, similarity))
+    busy = staged(prefix_rows(classes, counts, similarity, common=True))
+    crowds = staged(busy.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > COMMON))
+    index = prefix_rows(classes, counts, similarity, common=False).unionByName(busy.join(crowds, "key", "left_anti"))
+    pairs = staged(pairs_in_groups(classes, index, counts, similarity))
     both = pairs.unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y")))
     linked = both.join(classes.select(F.col("sig").alias("y"), "first", "copies"), "y").groupBy(F.col("x").alias("sig"))
-    linked = linked.agg(F.min("first").alias("other"), F.sum("copies").alias("more")).unionByName(links_by_common_word(classes, counts, similarity))
+    linked = linked.agg(F.min("first").alias("other"), F.sum("copies").alias("more")).unionByName(
+        links_in_tiles(classes, busy.select("key", "sig").join(crowds, "key"), counts, similarity)
+    )
     partners = linked.groupBy(F.col("sig").alias("x")).agg(F.min("other").alias("other"), F.sum("more").alias("more"))
     of_class = staged(
         classes.join(partners, F.col("sig") == F.col("x"), "left").select(
