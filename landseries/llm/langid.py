@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landseries.llm.common import staged
+
 ORDER = 3
 PAD = b"\n" * ORDER
 
@@ -143,7 +145,7 @@ def train(labelled: DataFrame, docs_per_lang: int = 6000, least: int = 2) -> Mod
 
     A bounded sample: about docs_per_lang rows of each language, drawn by a hash of the id.
     """
-    sizes = labelled.groupBy("lang").count()
+    sizes = staged(labelled.groupBy("lang").count())  # stored, so that its size decides how it is joined
     drawn = labelled.join(sizes, "lang").where(
         F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(float(docs_per_lang << 20)) / F.col("count")
     )
@@ -161,8 +163,8 @@ def train(labelled: DataFrame, docs_per_lang: int = 6000, least: int = 2) -> Mod
     return Model(counts, least) if len(counts) else None
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """(doc_id, lang_pred, score, bits_per_byte) of every row of (doc_id, text).
+def language(docs: DataFrame, model: Model | None) -> Column:
+    """A struct (lang_pred, score, bits_per_byte) of the column text of docs.
 
     score: the best language's share of the posterior under equal priors. Ties go to the
     first language in order. Null texts, texts with no letter, and all texts of an
@@ -170,25 +172,26 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("lang_pred string, score double, bits_per_byte double")
+    def run(text: pd.Series, letters: pd.Series) -> pd.DataFrame:
         m = shared.value
-        for b in batches:
-            out = pd.DataFrame({"doc_id": b["doc_id"], "lang_pred": "und", "score": 0.0, "bits_per_byte": np.nan})
-            has = b["letters"].to_numpy(bool) if m else np.zeros(len(b), bool)
-            if has.any():
-                texts = [encoded(t) for t in b["text"][has]]
-                bits = m.code_lengths(texts)
-                best = bits.argmin(axis=1)
-                low = bits.min(axis=1)
-                out.loc[has, "lang_pred"] = [m.langs[i] for i in best]
-                out.loc[has, "score"] = 1 / np.exp2(np.maximum(low[:, None] - bits, -1000)).sum(axis=1)
-                out.loc[has, "bits_per_byte"] = low / [len(t) for t in texts]
-            yield out
-
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return docs.select("doc_id", "text", letters.alias("letters")).mapInPandas(
-        run, "doc_id long, lang_pred string, score double, bits_per_byte double"
-    )
+        out = pd.DataFrame({"lang_pred": "und", "score": 0.0, "bits_per_byte": np.nan}, index=text.index)
+        has = letters.to_numpy(bool) if m else np.zeros(len(text), bool)
+        if has.any():
+            texts = [encoded(t) for t in text[has]]
+            bits = m.code_lengths(texts)
+            low = bits.min(axis=1)
+            out.loc[has, "lang_pred"] = [m.langs[i] for i in bits.argmin(axis=1)]
+            out.loc[has, "score"] = 1 / np.exp2(np.maximum(low[:, None] - bits, -1000)).sum(axis=1)
+            out.loc[has, "bits_per_byte"] = low / [len(t) for t in texts]
+        return out
+
+    return run("text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+
+
+def trained(docs: DataFrame, docs_per_lang: int, folds: int = 3, held_out: int = 1) -> Model | None:
+    fold = remainder("doc_id", folds)
+    return train(docs.where((fold != held_out) & F.col("lang").isNotNull()).select("doc_id", "text", "lang"), docs_per_lang)
 
 
 def identify(docs: DataFrame, docs_per_lang: int = 6000, folds: int = 3, held_out: int = 1) -> DataFrame:
@@ -199,17 +202,15 @@ def identify(docs: DataFrame, docs_per_lang: int = 6000, folds: int = 3, held_ou
     out repeated; an empty table gives no rows.
     """
     fold = remainder("doc_id", folds)
-    model = train(docs.where((fold != held_out) & F.col("lang").isNotNull()).select("doc_id", "text", "lang"), docs_per_lang)
-    return predict(docs, model).select(
-        "doc_id", F.coalesce(fold == held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "bits_per_byte"
-    )
+    found = docs.select("doc_id", language(docs, trained(docs, docs_per_lang, folds, held_out)).alias("p"))
+    return found.select("doc_id", F.coalesce(fold == held_out, F.lit(False)).alias("held_out"), "p.lang_pred", "p.score", "p.bits_per_byte")
 
 
 def keep_identified(docs: DataFrame, docs_per_lang: int = 6000) -> DataFrame:
     """docs without those that no language explains.
 
     Rejected: `und`, and texts that the best language codes in 8 bits a byte or more, which
-    is no better than bytes drawn evenly. Columns stay; rows of one id share its fate.
+    is no better than bytes drawn evenly. Columns stay, and nothing is shuffled but the training sample.
     """
-    bad = identify(docs, docs_per_lang).where("lang_pred = 'und' or bits_per_byte >= 8").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    found = docs.withColumn("_p", language(docs, trained(docs, docs_per_lang)))
+    return found.where("_p.lang_pred != 'und' and not coalesce(_p.bits_per_byte >= 8, false)").select(*docs.columns)

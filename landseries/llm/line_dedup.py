@@ -176,9 +176,9 @@ def pairs_in_groups(classes: DataFrame, index: DataFrame, counts, similarity: fl
         & (room >= needed) & ((both - apart) / 2 >= needed),
     )
     pairs = staged(found.groupBy(F.col("a_sig").alias("x"), F.col("b_sig").alias("y")).agg(F.min("a_key").alias("key")))
-    named = pairs.select(F.explode(F.array("x", "y")).alias("sig")).distinct()
-    sets = staged(classes.select("sig", "words").join(named, "sig", "left_semi"))
-    checked = pairs.join(sets.select(F.col("sig").alias("x"), F.col("words").alias("xs")), "x").join(sets.select(F.col("sig").alias("y"), F.col("words").alias("ys")), "y")
+    sets = classes.select("sig", "words").repartition("sig")  # one exchange for both joins
+    side = lambda name: sets.select(F.col("sig").alias(name), F.col("words").alias(f"{name}s"))
+    checked = pairs.join(side("x"), "x").join(side("y"), "y")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
@@ -279,11 +279,11 @@ def remove_later(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     Columns stay, n_chars is counted anew. Documents that lose no line stay as they are.
     """
     later = matched_lines(docs, similarity).where("removed").groupBy("doc_id").agg(F.collect_list("line_no").alias("gone"))  # bounded by a text's lines
-    later = staged(later)
-    hit = docs.join(later, "doc_id").withColumn("all_lines", F.split("text", "\n", -1))
     # the index of a line among all lines of its text
-    kept = F.filter("all_lines", lambda line, i: ~F.array_contains("gone", i))
-    hit = hit.withColumn("text", F.array_join(kept, "\n")).select(*docs.columns).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("gone", i))
+    hit = F.col("gone").isNotNull()
+    out = docs.join(staged(later), "doc_id", "left").withColumn("text", F.when(hit, F.array_join(kept, "\n")).otherwise(F.col("text")))
+    out = out.where(~hit | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
-        hit = hit.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return docs.join(later, "doc_id", "left_anti").select(*docs.columns).unionByName(hit)
+        out = out.withColumn("n_chars", F.when(hit, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)

@@ -91,5 +91,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
     """docs without the later members of each near-duplicate group; the least doc_id stays."""
     groups = near_duplicates(docs.select("doc_id", "text"), width=width)
-    later = groups.where("doc_id != component_id").select("doc_id").distinct()
+    later = staged(groups.where("doc_id != component_id").select("doc_id").distinct())  # its size decides how it is joined
     return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
