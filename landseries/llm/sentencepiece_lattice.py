@@ -258,9 +258,9 @@ def encode_relational(docs: DataFrame, path: str | None = None) -> DataFrame:
     lattice = edges.groupBy("segment").agg(F.map_from_entries(F.collect_list(F.struct("piece", F.coalesce("score", F.lit(0.0))))).alias("scores"))
     fold = """
         aggregate(sequence(1, length(segment)), filter(split(segment, ''), c -> c != ''), (p, k) ->
-          transform(array(array_max(transform(sequence(1, greatest(1, size(p) - 1)), i -> struct(scores[concat(p[i - 1], p[i])] as s, -i as i)))), best ->
+          transform(array(array_max(transform(sequence(1, greatest(1, size(p) - 1)), i -> struct(scores[concat(get(p, i - 1), get(p, i))] as s, -i as i)))), best ->
             case when size(p) < 2 or best.s is null then p
-            else concat(slice(p, 1, -best.i - 1), array(concat(p[-best.i - 1], p[-best.i])), slice(p, -best.i + 2, size(p))) end)[0])
+            else concat(slice(p, 1, -best.i - 1), array(concat(get(p, -best.i - 1), get(p, -best.i))), slice(p, -best.i + 2, size(p))) end)[0])
     """
     folded = lattice.withColumn("pieces", F.expr(fold)).select("segment", "pieces")
     return (
