@@ -17,7 +17,7 @@ from landseries.llm.tokens import batches_of, mix, word_hashes
 #: Words are counted by hash in this many buckets, a table of fixed size.
 BUCKETS, CHUNK = 1 << 23, 1 << 15
 #: Groups of more classes than this are compared in tiles.
-COMMON = 200
+COMMON = 1000
 
 
 def line_sets(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
