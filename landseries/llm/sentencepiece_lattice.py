@@ -255,7 +255,7 @@ def encode_relational(docs: DataFrame, path: str | None = None) -> DataFrame:
         .withColumn("piece", F.substring("segment", F.col("start"), F.col("size")))
     )
     edges = subs.join(F.broadcast(piece_table(spark, path)), "piece", "left").where("size > 1 and id is not null or size = 1")
-    lattice = edges.groupBy("segment").agg(F.map_from_entries(F.collect_list(F.struct("piece", F.coalesce("score", F.lit(0.0))))).alias("scores"))
+    lattice = edges.groupBy("segment").agg(F.map_from_entries(F.collect_set(F.struct("piece", F.coalesce("score", F.lit(0.0))))).alias("scores"))
     fold = """
         aggregate(sequence(1, length(segment)), filter(split(segment, ''), c -> c != ''), (p, k) ->
           transform(array(array_max(transform(sequence(1, greatest(1, size(p) - 1)), i -> struct(scores[concat(get(p, i - 1), get(p, i))] as s, -i as i)))), best ->
