@@ -312,11 +312,11 @@ def split_models(t: Tables) -> DataFrame:
     return t.polygons.select("fid", F.concat_ws("f", "region", fold).alias("model"))
 
 
-@query("sp10_periodic_selection", "SELECT fid, code FROM (SELECT fid, code, row_number() OVER (PARTITION BY code ORDER BY fid) AS k, count(*) OVER (PARTITION BY code) AS n FROM polygons) WHERE (k - 1) % (n // 25) = 0")
+@query("sp10_periodic_selection", "SELECT fid, code FROM (SELECT fid, code, row_number() OVER (PARTITION BY code ORDER BY fid) AS k, count(*) OVER (PARTITION BY code) AS n FROM polygons) WHERE (k - 1) % greatest(1, n // 25) = 0")
 def periodic(t: Tables) -> DataFrame:
     w = Window.partitionBy("code")
     ranked = t.polygons.withColumns({"k": F.row_number().over(w.orderBy("fid")), "n": F.count("*").over(w)})
-    return ranked.where((F.col("k") - 1) % F.floor(F.col("n") / 25) == 0).select("fid", "code")
+    return ranked.where((F.col("k") - 1) % F.greatest(F.lit(1), F.floor(F.col("n") / 25)) == 0).select("fid", "code")
 
 
 @query("sp12_flags", "SELECT fid, CASE WHEN seed = 1 THEN set ELSE 'XXXX' END AS flag, seed FROM split_rows", SPLIT)
