@@ -37,6 +37,19 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, column: str) -> DataFrame:
+    """Write df into the shared folder as a table in buckets of a column and read it back.
+
+    Joins on the column take the buckets as they lie: only their other side is shuffled.
+    There are as many buckets as shuffle partitions. The table stays in the session's catalog.
+    """
+    spark = df.sparkSession
+    name = f"bucketed_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(n, column).option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
+    return spark.table(name)
+
+
 def connected_components(edges: DataFrame, salts: int = 8, max_rounds: int = 60) -> DataFrame:
     """(node, component) of every node that has an edge and is not the least of its component.
 

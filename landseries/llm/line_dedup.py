@@ -11,13 +11,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landseries.llm.common import staged
+from landseries.llm.common import bucketed, staged
 from landseries.llm.tokens import batches_of, mix, word_hashes
 
 #: Words are counted by hash in this many buckets, a table of fixed size.
 BUCKETS, CHUNK = 1 << 23, 1 << 15
 #: Groups of more classes than this are compared in tiles.
-COMMON = 1000
+COMMON = 200
 
 
 def line_sets(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -176,8 +176,7 @@ def pairs_in_groups(classes: DataFrame, index: DataFrame, counts, similarity: fl
         & (room >= needed) & ((both - apart) / 2 >= needed),
     )
     pairs = staged(found.groupBy(F.col("a_sig").alias("x"), F.col("b_sig").alias("y")).agg(F.min("a_key").alias("key")))
-    sets = classes.select("sig", "words").repartition("sig")  # one exchange for both joins
-    side = lambda name: sets.select(F.col("sig").alias(name), F.col("words").alias(f"{name}s"))
+    side = lambda name: classes.select(F.col("sig").alias(name), F.col("words").alias(f"{name}s"))
     checked = pairs.join(side("x"), "x").join(side("y"), "y")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +249,7 @@ def matched_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     taken as unique; an empty table gives no rows.
     """
     docs = docs.where("doc_id is not null")
-    classes = staged(classes_of(docs))
+    classes = bucketed(classes_of(docs), "sig")  # the word sets are never shuffled again
     counts = docs.sparkSession.sparkContext.broadcast(word_counts(classes))
     busy = staged(prefix_rows(classes, counts, similarity, common=True))
     crowds = staged(busy.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > COMMON))
