@@ -17,7 +17,7 @@ from landseries.llm.tokens import batches_of, mix, word_hashes
 #: Words are counted by hash in this many buckets, a table of fixed size.
 BUCKETS, CHUNK = 1 << 23, 1 << 15
 #: Groups of more classes than this are compared in tiles.
-COMMON = 200
+COMMON = 1000
 
 
 def line_sets(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -132,21 +132,20 @@ def prefix_rows(classes: DataFrame, counts, similarity: float, common: bool) ->
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not len(b):
-                continue
+        for b in (b.slice(at, 1 << 15) for b in batches for at in range(0, len(b), 1 << 15)):
             sizes = b["size"].to_numpy().astype(np.int64)
             words = numbers_of(b["words"])
+            starts = np.cumsum(sizes) - sizes
             row = np.repeat(np.arange(len(b)), sizes)
-            bit = mix(words.astype(np.uint64)) & np.uint64(63)
-            maps = np.zeros(len(b), np.uint64)
-            np.bitwise_or.at(maps, row, np.uint64(1) << bit)
-            key = order_keys(words, counts.value)
-            key = key[np.lexsort((key, row))]
-            pos = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            # row, rank and word in one number: a rank has 16 bits, a row here 15
+            key = np.sort(row << 48 | order_keys(words, counts.value)) & ((1 << 48) - 1)
+            pos = np.arange(len(words)) - starts[row]
             need = sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1
             rank = key >> 32
             keep = (pos < need[row]) & ((rank > COMMON) if common else (rank > 1) & (rank <= COMMON))
+            if not keep.any():
+                continue
+            maps = np.bitwise_or.reduceat(np.uint64(1) << (mix(words.astype(np.uint64)) & np.uint64(63)), starts)
             row, pos, key = row[keep], pos[keep], key[keep]
             columns = (key, b["sig"].to_numpy()[row], sizes[row] << 32 | pos, maps[row].view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "sig", "place", "bits"])
