@@ -153,47 +153,131 @@ def prefix_rows(classes: DataFrame, counts, similarity: float, common: bool) ->
     return classes.select("sig", "size", "words").mapInArrow(run, "key long, sig long, place long, bits long")
 
 
-def pairs_in_groups(classes: DataFrame, index: DataFrame, counts, similarity: float) -> DataFrame:
-    """(x, y): similar classes whose first common word is in the index; each pair once.
+def whole_groups(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Tables of about `rows` rows out of batches in the order of key; no key is split."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += len(b)
+        if n >= rows:
+            t = pa.Table.from_batches(held).combine_chunks()
+            key = t["key"].to_numpy()
+            cut = int(np.searchsorted(key, key[-1]))
+            if cut:
+                yield t.slice(0, cut)
+            held, n = t.slice(cut).to_batches(), n - cut
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def neighbours(key: np.ndarray, size: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs (a, b) of rows of one key that pass the length filter, rows being in the order of key and size.
+
+    Each step pairs rows with those d places on, so a row occurs once on either side of a step.
+    """
+    a, d = np.arange(len(key)), 0
+    while True:
+        d += 1
+        a = a[a + d < len(key)]
+        a = a[(key[a] == key[a + d]) & (size[a] >= size[a + d] * similarity - 1e-9)]
+        if not len(a):
+            return
+        yield a, a + d
+
+
+def members(index: DataFrame, similarity: float) -> DataFrame:
+    """(sig, key): under which keys each class must be compared to find all its links.
+
+    Within a key's group, at most COMMON classes, pairs pass the length, positional and bitmap
+    filters or go. A class is left with the keys under which it has partners; of several with
+    the same partners the first, which is enough: under the first key that two classes have in
+    common, neither has the other before, so neither drops it.
+    """
 
-    A word's group in the index holds at most COMMON classes, so the rows that the join
-    makes stay in proportion to the input.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, 1 << 17):
+            key, sig, place, bits = (t[c].to_numpy() for c in ("key", "sig", "place", "bits"))
+            size, names, bits = place >> 32, mix(sig.view(np.uint64)), bits.view(np.uint64)  # numpy counts the bits of absolute values
+            rest = size - (place & 0xFFFFFFFF)
+            partners, some = np.zeros(len(key), np.uint64), np.zeros(len(key), bool)
+            for a, b in neighbours(key, size, similarity):
+                both = size[a] + size[b]
+                needed = similarity / (1 + similarity) * both - 1e-9  # the least number of common words
+                apart = np.bitwise_count(bits[a] ^ bits[b])
+                ok = (np.minimum(rest[a], rest[b]) >= needed) & ((both - apart) / 2 >= needed)
+                a, b = a[ok], b[ok]
+                partners[a] += names[b]
+                partners[b] += names[a]
+                some[a] = some[b] = True
+            if some.any():
+                columns = {"sig": sig[some], "key": key[some], "partners": partners[some].view(np.int64)}
+                yield pa.RecordBatch.from_pydict({c: pa.array(v) for c, v in columns.items()})
+
+    found = index.repartition("key").sortWithinPartitions("key", "place").mapInArrow(run, "sig long, key long, partners long")
+    return found.repartition("sig").groupBy("sig", "partners").agg(F.min("key").alias("key")).select("sig", "key")
+
+
+def stretches(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The stretches of data that belong to rows, one after the other."""
+    n = sizes[rows]
+    return data[np.repeat(starts[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+
+def links_in_groups(classes: DataFrame, index: DataFrame, counts, similarity: float, words_at_once: int = 1 << 21) -> DataFrame:
+    """(sig, other, more): per class and key, the links whose first common word is the key, a key of the index.
+
+    Pairs live in numpy arrays of a task only; each group gives sums and minima for its classes.
     """
-    index = index.repartition("key")  # both sides of the join read one exchange
-    a = index.select(*(F.col(c).alias(f"a_{c}") for c in index.columns))
-    b = index.select(*(F.col(c).alias(f"b_{c}") for c in index.columns))
-    size = lambda side: F.shiftright(f"{side}_place", 32)
-    rest = lambda side: size(side) - F.col(f"{side}_place").bitwiseAND(F.lit(0xFFFFFFFF))
-    both = size("a") + size("b")
-    needed = F.lit(similarity / (1 + similarity)) * both - 1e-9  # the least number of common words
-    room = F.least(rest("a"), rest("b"))
-    apart = F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits")))
-    found = a.join(
-        b,
-        (F.col("a_key") == F.col("b_key")) & (F.col("a_sig") < F.col("b_sig"))
-        & (F.least(size("a"), size("b")) >= F.greatest(size("a"), size("b")) * similarity - 1e-9)
-        & (room >= needed) & ((both - apart) / 2 >= needed),
-    )
-    pairs = staged(found.groupBy(F.col("a_sig").alias("x"), F.col("b_sig").alias("y")).agg(F.min("a_key").alias("key")))
-    side = lambda name: classes.select(F.col("sig").alias(name), F.col("words").alias(f"{name}s"))
-    checked = pairs.join(side("x"), "x").join(side("y"), "y")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
-            if not len(t):
-                continue
-            m, n = (np.diff(np.frombuffer(t[c].buffers()[1], np.int32)[t[c].offset : t[c].offset + len(t) + 1]) // 4 for c in ("xs", "ys"))
-            row = np.arange(len(t), dtype=np.uint64) << np.uint64(32)
-            both = np.sort(np.concatenate([np.repeat(row, m) | numbers_of(t["xs"]), np.repeat(row, n) | numbers_of(t["ys"])]))
-            twice = both[1:][both[1:] == both[:-1]]
-            row = (twice >> np.uint64(32)).astype(np.int64)
-            shared = np.bincount(row, minlength=len(t))
-            first = np.full(len(t), np.iinfo(np.int64).max)
-            np.minimum.at(first, row, order_keys(twice.astype(np.uint32), counts.value))
-            similar = shared >= similarity * (m + n - shared) - 1e-9
-            yield t.select(["x", "y"]).filter(pa.array(similar & (first == t["key"].to_numpy())))
-
-    return checked.select("x", "y", "key", "xs", "ys").mapInArrow(verify, "x long, y long")
+        for t in whole_groups(batches, 1 << 15):
+            key, sig, doc, line, copies, size = (t[c].to_numpy() for c in ("key", "sig", "doc_id", "line_no", "copies", "size"))
+            size, words = size.astype(np.int64), numbers_of(t["words"].combine_chunks())
+            starts = np.cumsum(size) - size
+            spread = mix(words.astype(np.uint64))
+            bit, lane = np.uint64(1) << (spread & np.uint64(63)), spread >> np.uint64(6) & np.uint64(3)
+            maps = [np.bitwise_or.reduceat(np.where(lane == k, bit, np.uint64(0)), starts) for k in range(4)]
+            order = np.lexsort((line, doc))
+            age = np.empty(len(order), np.int64)
+            age[order] = np.arange(len(order))
+            oldest, more = np.full(len(key), len(key)), np.zeros(len(key), np.int64)
+
+            def count(a: np.ndarray, b: np.ndarray) -> None:
+                m, n = size[a], size[b]
+                pair = np.arange(len(a), dtype=np.uint64) << np.uint64(32)
+                both = np.sort(np.concatenate([np.repeat(pair, m) | stretches(words, starts, size, a), np.repeat(pair, n) | stretches(words, starts, size, b)]))
+                twice = both[1:][both[1:] == both[:-1]]
+                pair = (twice >> np.uint64(32)).astype(np.int64)
+                shared = np.bincount(pair, minlength=len(a))
+                cuts = np.nonzero(np.diff(pair, prepend=-1))[0]  # a pair has its key in common at least
+                first = np.minimum.reduceat(order_keys(twice.astype(np.uint32), counts.value), cuts)
+                ok = (shared >= similarity * (m + n - shared) - 1e-9) & (first == key[a])
+                a, b = a[ok], b[ok]
+                for x, y in ((a, b), (b, a)):
+                    np.minimum.at(oldest, x, age[y])
+                    np.add.at(more, x, copies[y])
+
+            left, right, held = [], [], 0
+            for a, b in neighbours(key, size, similarity):
+                both = size[a] + size[b]
+                apart = sum(np.bitwise_count(m[a] ^ m[b]).astype(np.int64) for m in maps)
+                ok = (both - apart) / 2 >= similarity / (1 + similarity) * both - 1e-9
+                left.append(a[ok])
+                right.append(b[ok])
+                held += int(both[ok].sum())
+                if held > words_at_once:
+                    count(np.concatenate(left), np.concatenate(right))
+                    left, right, held = [], [], 0
+            if held:
+                count(np.concatenate(left), np.concatenate(right))
+            some = np.nonzero(more)[0]
+            other = order[oldest[some]]
+            yield pa.RecordBatch.from_pydict({"sig": pa.array(sig[some]), "doc_id": pa.array(doc[other]), "line_no": pa.array(line[other]), "more": pa.array(more[some])})
+
+    full = members(index, similarity).join(classes.select("sig", "first.doc_id", "first.line_no", "copies", "size", "words"), "sig")
+    ready = full.select("key", "sig", "doc_id", "line_no", "copies", "size", "words").repartition("key").sortWithinPartitions("key", "size")
+    found = ready.mapInArrow(verify, "sig long, doc_id long, line_no int, more long")
+    return found.select("sig", F.struct("doc_id", "line_no").alias("other"), "more")
 
 
 def links_in_tiles(classes: DataFrame, crowded: DataFrame, counts, similarity: float, tile: int = 256) -> DataFrame:
@@ -253,10 +337,7 @@ def matched_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     busy = staged(prefix_rows(classes, counts, similarity, common=True))
     crowds = staged(busy.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > COMMON))
     index = prefix_rows(classes, counts, similarity, common=False).unionByName(busy.join(crowds, "key", "left_anti"))
-    pairs = staged(pairs_in_groups(classes, index, counts, similarity))
-    both = pairs.unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y")))
-    linked = both.join(classes.select(F.col("sig").alias("y"), "first", "copies"), "y").groupBy(F.col("x").alias("sig"))
-    linked = linked.agg(F.min("first").alias("other"), F.sum("copies").alias("more")).unionByName(
+    linked = links_in_groups(classes, index, counts, similarity).unionByName(
         links_in_tiles(classes, busy.select("key", "sig").join(crowds, "key"), counts, similarity)
     )
     partners = linked.groupBy(F.col("sig").alias("x")).agg(F.min("other").alias("other"), F.sum("more").alias("more"))
