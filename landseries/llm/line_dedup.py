@@ -126,9 +126,9 @@ def prefix_rows(classes: DataFrame, counts, similarity: float, common: bool) ->
     Sets that share at least o = ceil(similarity * size) words share one among the first
     size - o + 1 of each under any common order; rarest first makes for few partners. A word
     alone in its bucket is in one class only and has no partner to meet. place holds the set's
-    size and the word's position; bits is a bitmap of the set, from which a lower bound of
-    two sets' difference follows. common: the
-    words that more than COMMON classes hold, or the others.
+    size and the word's position; bits holds the parities of the set's words in 64 bins: common
+    words cancel, so at most as many bits differ as two sets have words apart, however large
+    the sets. common: the words that more than COMMON classes hold, or the others.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +145,7 @@ def prefix_rows(classes: DataFrame, counts, similarity: float, common: bool) ->
             keep = (pos < need[row]) & ((rank > COMMON) if common else (rank > 1) & (rank <= COMMON))
             if not keep.any():
                 continue
-            maps = np.bitwise_or.reduceat(np.uint64(1) << (mix(words.astype(np.uint64)) & np.uint64(63)), starts)
+            maps = np.bitwise_xor.reduceat(np.uint64(1) << (mix(words.astype(np.uint64)) & np.uint64(63)), starts)
             row, pos, key = row[keep], pos[keep], key[keep]
             columns = (key, b["sig"].to_numpy()[row], sizes[row] << 32 | pos, maps[row].view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "sig", "place", "bits"])
@@ -188,7 +188,7 @@ def neighbours(key: np.ndarray, size: np.ndarray, similarity: float) -> Iterator
 def members(index: DataFrame, similarity: float) -> DataFrame:
     """(sig, key): under which keys each class must be compared to find all its links.
 
-    Within a key's group, at most COMMON classes, pairs pass the length, positional and bitmap
+    Within a key's group, at most COMMON classes, pairs pass the length, positional and parity
     filters or go. A class is left with the keys under which it has partners; of several with
     the same partners the first, which is enough: under the first key that two classes have in
     common, neither has the other before, so neither drops it.
@@ -236,7 +236,7 @@ def links_in_groups(classes: DataFrame, index: DataFrame, counts, similarity: fl
             starts = np.cumsum(size) - size
             spread = mix(words.astype(np.uint64))
             bit, lane = np.uint64(1) << (spread & np.uint64(63)), spread >> np.uint64(6) & np.uint64(3)
-            maps = [np.bitwise_or.reduceat(np.where(lane == k, bit, np.uint64(0)), starts) for k in range(4)]
+            maps = [np.bitwise_xor.reduceat(np.where(lane == k, bit, np.uint64(0)), starts) for k in range(4)]
             order = np.lexsort((line, doc))
             age = np.empty(len(order), np.int64)
             age[order] = np.arange(len(order))
