@@ -159,6 +159,33 @@ def test_lines(spark, none):
     assert line_dedup.matched_lines(none).count() == 0
 
 
+def test_lines_equal_brute_force(spark):
+    rng = np.random.default_rng(5)
+    texts = []
+    for _ in range(30):
+        base = rng.integers(0, 400, rng.integers(1, 160))
+        for _ in range(rng.integers(1, 9)):
+            changed = np.where(rng.random(len(base)) < rng.choice([0, 0.02, 0.08, 0.12, 0.2]), rng.integers(0, 900, len(base)), base)
+            texts.append(" ".join(f"w{k}" for k in changed))
+    rng.shuffle(texts)
+    rows = [(k, "\n".join(texts[at : at + 3])) for k, at in enumerate(range(0, len(texts), 3))]
+    sets = [((k, n), set(line.split())) for k, text in rows for n, line in enumerate(text.split("\n"))]
+    want = {}
+    for at, x in sets:
+        near = [b for b, y in sets if b != at and len(x & y) >= 0.8 * len(x | y) - 1e-9]
+        want[at] = (len(near), min([at, *near]))
+    got = {(r.doc_id, r.line_no): (r.n_links, (r.first_doc, r.first_line)) for r in line_dedup.matched_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want and sum(n for n, _ in want.values()) > 100
+
+
+def test_neighbours_are_all_pairs_of_a_key():
+    rng = np.random.default_rng(6)
+    key, size = np.sort(rng.integers(0, 12, 80)), rng.integers(1, 30, 80)
+    size = size[np.lexsort((size, key))]
+    got = {(int(x), int(y)) for a, b in line_dedup.neighbours(key, size, 0.8) for x, y in zip(a, b, strict=True)}
+    assert got == {(x, y) for x in range(80) for y in range(x + 1, 80) if key[x] == key[y] and size[x] >= 0.8 * size[y] - 1e-9}
+
+
 def test_fingerprints(docs, none):
     got = {r.doc_id: r for r in simhash.near_duplicates(docs).collect()}
     assert got[1].component_id == 0 and got[4].component_id == 3 and got[3].fingerprint == "0" * 16 and got[None].component_id is None
