@@ -117,3 +117,21 @@ def replicate(samples: DataFrame, add: DataFrame, key: str) -> DataFrame:
     ranked = samples.withColumns({"_n": F.count("*").over(part), "_rank": F.row_number().over(part.orderBy(key)) - 1}).join(F.broadcast(add), "class")
     times = F.floor(F.col("add") / F.col("_n")) + (F.col("_rank") < F.col("add") % F.col("_n")).cast("long")
     return ranked.where(times > 0).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), times))).drop("_n", "_rank", "add")
+
+
+def copy_by_rules(samples: DataFrame, rules: Sequence[tuple[int, int, int, int]], key: str) -> DataFrame:
+    """samples (key, class, model) with a column `path`, and the copies that the rules add.
+
+    rules: (source model, target model, class, number; -1 is all), in order: later rules see
+    the copies of earlier ones. A rule takes the least keys, and all there are if those are
+    too few. path is empty for a sample itself; a copy's names the rules (from 1) that made
+    it, so key and path are its fresh identity and nothing is numbered in one task.
+    """
+    out = samples.withColumn("path", F.lit(""))
+    for k, (source, target, kind, number) in enumerate(rules, 1):
+        taken = out.where((F.col("model") == source) & (F.col("class") == kind))
+        if number >= 0:
+            taken = taken.orderBy(key, "path").limit(number)
+        made = taken.withColumns({"model": F.lit(target).cast(samples.schema["model"].dataType), "path": F.concat("path", F.lit(f"/{k}"))})
+        out = out.unionByName(made)
+    return out

@@ -354,6 +354,15 @@ def replicate(t: Tables) -> DataFrame:
     return op.replicate(samples, op.to_add(counts(t), "minimum", 60), "vec_id")
 
 
+@query("au6_copy_by_rules", """WITH s AS (SELECT vec_id, label AS class, vec_id % 3 AS model, '' AS path FROM embeddings),
+  a AS (FROM s UNION ALL SELECT vec_id, class, 1, path || '/1' FROM s WHERE model = 0 AND class = 2),
+  b AS (FROM a UNION ALL FROM (SELECT vec_id, class, 2, path || '/2' FROM a WHERE model = 1 AND class = 2 ORDER BY vec_id, path LIMIT 5))
+  FROM b UNION ALL FROM (SELECT vec_id, class, 2, path || '/3' FROM b WHERE model = 0 AND class = 4 ORDER BY vec_id, path LIMIT 7)""")
+def copy_by_rules(t: Tables) -> DataFrame:
+    samples = t.embeddings.select("vec_id", F.col("label").alias("class"), (F.col("vec_id") % 3).alias("model"))
+    return op.copy_by_rules(samples, [(0, 1, 2, -1), (1, 2, 2, 5), (0, 2, 4, 7)], "vec_id")
+
+
 @query("vt1_area_perimeter", "SELECT fid, w * h AS area, 2 * (w + h) AS perimeter FROM polygons")
 def area_perimeter(t: Tables) -> DataFrame:
     """Shoelace sums over the rings of the rectangles."""
