@@ -246,3 +246,24 @@ def test_palette_with_two_colours():
         w.put(1, 1), w.put(0, 1), w.put(1, 1), w.put(symbol, 8)
     green = webp.decode(webp.container(w.bytes()))[0, :, 1].tolist()
     assert green == [220 if 0b10110001 >> k & 1 else 20 for k in range(8)]
+
+
+def planted_passages(spark, rows):
+    return substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+
+
+@pytest.mark.parametrize("copies", [1, 12])
+def test_passages_among_partial_copies(spark, copies):
+    """Whole passages between texts that hold only their start; in crowds too."""
+    rng = np.random.default_rng(5)
+    own = lambda n: [f"w{k}" for k in rng.integers(1 << 40, size=n)]
+    rows, pairs = [], []
+    for p in range(40 if copies == 1 else 4):
+        passage = own(60)
+        for k in range(4 * copies):
+            whole = k % 2 == 1
+            rows.append((1000 * p + k, " ".join(own(5) + (passage if whole else passage[:40]) + own(60))))
+            if whole and k > 1:
+                pairs.append(1000 * p + k)
+    got = {r.doc_id: r for r in planted_passages(spark, rows)}
+    assert sorted(got) == pairs and all((r.first_word, r.n_words, r.source_word, r.jaccard) == (5, 60, 5, 1.0) for r in got.values())
