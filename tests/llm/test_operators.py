@@ -267,3 +267,19 @@ def test_passages_among_partial_copies(spark, copies):
                 pairs.append(1000 * p + k)
     got = {r.doc_id: r for r in planted_passages(spark, rows)}
     assert sorted(got) == pairs and all((r.first_word, r.n_words, r.source_word, r.jaccard) == (5, 60, 5, 1.0) for r in got.values())
+
+
+def test_passages_with_words_put_in_and_left_out(spark):
+    rng = np.random.default_rng(6)
+    own = lambda n: [f"w{k}" for k in rng.integers(1 << 40, size=n)]
+    rows, wanted = [], {}
+    for p in range(60):
+        n = int(rng.integers(56, 100))
+        x = own(n)
+        at = int(rng.integers(20, n - 20))
+        y = x[:at] + (own(1) if p % 3 == 0 else []) + x[at + (p % 3 > 0) :] if p % 3 < 2 else x[:at] + own(1) + x[at + 1 :]
+        rows += [(2 * p, " ".join(own(30) + x + own(30))), (2 * p + 1, " ".join(own(40) + y + own(20)))]
+        sets = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in (x, y)]
+        wanted[2 * p + 1] = (2 * p, 40, len(y), 30, pytest.approx(len(sets[0] & sets[1]) / len(sets[0] | sets[1])))
+    got = {r.doc_id: (r.source_id, r.first_word, r.n_words, r.source_word, r.jaccard) for r in planted_passages(spark, rows)}
+    assert got == wanted
