@@ -283,3 +283,15 @@ def test_passages_with_words_put_in_and_left_out(spark):
         wanted[2 * p + 1] = (2 * p, 40, len(y), 30, pytest.approx(len(sets[0] & sets[1]) / len(sets[0] | sets[1])))
     got = {r.doc_id: (r.source_id, r.first_word, r.n_words, r.source_word, r.jaccard) for r in planted_passages(spark, rows)}
     assert got == wanted
+
+
+def test_recall_at_the_threshold(spark):
+    """One of 51 words replaced: 42 of 52 shingles are common; every planted pair is found."""
+    rng = np.random.default_rng(7)
+    own = lambda n: [f"w{k}" for k in rng.integers(1 << 40, size=n)]
+    rows = []
+    for p in range(500):
+        x = own(51)
+        y = x[:25] + own(1) + x[26:]
+        rows += [(2 * p, " ".join(own(30) + x + own(30))), (2 * p + 1, " ".join(own(40) + y + own(20)))]
+    assert sorted(r.doc_id for r in planted_passages(spark, rows)) == list(range(1, 1000, 2))
