@@ -92,7 +92,9 @@ def test_compact_windows_partition_all_long_subsequences():
     windows = list(substring_dedup.compact_windows(h, 5))
     for x in range(40):
         for y in range(x + 4, 40):
-            assert sum(left <= x <= c <= y <= right and h[c] == h[x : y + 1].min() for left, c, right in windows) == 1
+            assert sum(left <= x <= c <= y <= right and h[c] == h[x : y + 1].min() for left, c, _, right in windows) == 1
+    assert list(substring_dedup.compact_windows(np.array([5, 1, 7, 7, 7, 1, 9]), 3)) == [(0, 1, 3, 6), (2, 2, 0, 4)]
+    assert len(list(substring_dedup.compact_windows(np.zeros(80_000, np.int64), 42))) == 1
 
 
 def test_vectors(spark):
