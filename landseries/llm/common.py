@@ -5,10 +5,23 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Stands for a null id inside Python tasks, where nulls would turn a batch's ids into floats.
+NO_ID = -(2**63)
+
+
+def known_id(column: str = "doc_id") -> Column:
+    return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID)).alias("doc_id")
+
+
+def with_null_ids(df: DataFrame) -> DataFrame:
+    """df, of which doc_id came from known_id, with nulls again."""
+    return df.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have, in any case."""
     taken = {c.lower() for c in df.columns}
@@ -20,9 +33,12 @@ def fresh(df: DataFrame, name: str) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (spark.checkpoint.dir).
 
-    Only a session that names none, as in tests on one machine, gets a temporary one.
+    Only a local session that names none, as in tests, gets a temporary one: on a cluster
+    executors would write to their own disks.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="landseries-")
         spark.conf.set("spark.checkpoint.dir", path)

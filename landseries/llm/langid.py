@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landseries.llm.common import staged
+from landseries.llm.common import fresh, staged
 
 ORDER = 3
 PAD = b"\n" * ORDER
@@ -210,7 +210,9 @@ def keep_identified(docs: DataFrame, docs_per_lang: int = 6000) -> DataFrame:
     """docs without those that no language explains.
 
     Rejected: `und`, and texts that the best language codes in 8 bits a byte or more, which
-    is no better than bytes drawn evenly. Columns stay, and nothing is shuffled but the training sample.
+    is no better than bytes drawn evenly. Null and empty texts are `und` and go; rows of a null
+    id are judged like others; equal rows stay or go together; an empty table stays empty. All columns stay, whatever their names, and nothing is shuffled but the training sample.
     """
-    found = docs.withColumn("_p", language(docs, trained(docs, docs_per_lang)))
-    return found.where("_p.lang_pred != 'und' and not coalesce(_p.bits_per_byte >= 8, false)").select(*docs.columns)
+    p = fresh(docs, "p")
+    found = docs.withColumn(p, language(docs, trained(docs, docs_per_lang)))
+    return found.where(f"{p}.lang_pred != 'und' and not coalesce({p}.bits_per_byte >= 8, false)").drop(p)

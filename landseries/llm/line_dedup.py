@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landseries.llm.common import bucketed, staged
+from landseries.llm.common import bucketed, fresh, staged
 from landseries.llm.tokens import batches_of, mix, word_hashes
 
 #: Words are counted by hash in this many buckets, a table of fixed size.
@@ -355,14 +355,18 @@ def matched_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
 def remove_later(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """docs without the lines that match an earlier one; documents of which no word is left go.
 
-    Columns stay, n_chars is counted anew. Documents that lose no line stay as they are.
+    All columns stay, whatever their names; n_chars is counted anew where a line went. Documents
+    that lose no line, null texts and rows of a null id stay as they are; equal rows lose the
+    same lines; an empty table stays empty.
     """
-    later = matched_lines(docs, similarity).where("removed").groupBy("doc_id").agg(F.collect_list("line_no").alias("gone"))  # bounded by a text's lines
+    id_, gone = fresh(docs, "id"), fresh(docs, "gone")
+    later = matched_lines(docs.select("doc_id", "text"), similarity).where("removed").distinct().groupBy(F.col("doc_id").alias(id_))
+    later = staged(later.agg(F.collect_set("line_no").alias(gone)))  # bounded by a text's lines
     # the index of a line among all lines of its text
-    kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("gone", i))
-    hit = F.col("gone").isNotNull()
-    out = docs.join(staged(later), "doc_id", "left").withColumn("text", F.when(hit, F.array_join(kept, "\n")).otherwise(F.col("text")))
+    kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains(gone, i))
+    hit = F.col(gone).isNotNull()
+    out = docs.join(later, docs["doc_id"] == later[id_], "left").withColumn("text", F.when(hit, F.array_join(kept, "\n")).otherwise(F.col("text")))
     out = out.where(~hit | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(hit, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return out.drop(id_, gone)

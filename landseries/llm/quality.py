@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landseries.llm.common import staged
+from landseries.llm.common import known_id, staged, with_null_ids
 from landseries.llm.langid import remainder
 
 FEATURES = (
@@ -50,7 +50,7 @@ def feature_table(docs: DataFrame) -> DataFrame:
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "x": [list(map(float, features(t))) for t in b["text"]]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, x array<double>")
+    return docs.select(known_id(), "text").mapInPandas(run, "doc_id long, x array<double>").transform(with_null_ids)
 
 
 def shallow_tree(g: np.ndarray, h: np.ndarray, leaves: int, ridge: float) -> np.ndarray:
@@ -166,5 +166,5 @@ def classify(docs: DataFrame, labels: DataFrame, train_rows: int = 20_000, folds
             s = m.score(np.stack(b["x"].to_numpy())) if m and len(b) else np.full(len(b), 0.5)
             yield pd.DataFrame({"doc_id": b["doc_id"], "score": s, "predicted": (s >= 0.5).astype(np.int32)})
 
-    scored = table.mapInPandas(run, "doc_id long, score double, predicted int")
+    scored = with_null_ids(table.select(known_id(), "x").mapInPandas(run, "doc_id long, score double, predicted int"))
     return scored.select("doc_id", F.coalesce(fold == held_out, F.lit(False)).alias("held_out"), "score", "predicted")

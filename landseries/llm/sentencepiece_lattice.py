@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landseries.llm.common import known_id, with_null_ids
 from landseries.llm.tokens import BASE, mix, powers
 
 MARK = "▁"
@@ -212,7 +213,7 @@ def encode(docs: DataFrame, path: str | None = None, viterbi: bool = False) -> D
                 known.update(zip(new, v.encode_segments(new, viterbi), strict=True))
                 yield pd.DataFrame({"doc_id": part["doc_id"], "ids": [b"".join(map(known.__getitem__, x)) for x in lists]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, ids binary")
+    return docs.select(known_id(), "text").mapInPandas(run, "doc_id long, ids binary").transform(with_null_ids)
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -227,7 +228,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
                 "text": [v.decode(np.frombuffer(x, "<i4").tolist()) for x in b["ids"]],
             })
 
-    return encoded.mapInPandas(run, "doc_id long, n_pieces long, ids_crc32 long, text string")
+    return encoded.select(known_id(), "ids").mapInPandas(run, "doc_id long, n_pieces long, ids_crc32 long, text string").transform(with_null_ids)
 
 
 def piece_table(spark: SparkSession, path: str | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landseries.llm.common import connected_components, staged
+from landseries.llm.common import connected_components, fresh, known_id, staged, with_null_ids
 
 
 def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
@@ -39,7 +39,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "fp": [fingerprint(t, width) for t in b["text"]]})
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, "doc_id long, fp long")
+    return docs.select(known_id(id_col), F.col(text_col).alias("text")).mapInPandas(run, "doc_id long, fp long").transform(with_null_ids)
 
 
 def ball_edges(prints: DataFrame) -> DataFrame:
@@ -89,7 +89,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
-    """docs without the later members of each near-duplicate group; the least doc_id stays."""
+    """docs without the later members of each near-duplicate group; the least doc_id stays.
+
+    All columns stay, whatever their names. Rows of a null id stay; of equal rows all stay or
+    all go; null and empty texts are one group; an empty table stays empty.
+    """
     groups = near_duplicates(docs.select("doc_id", "text"), width=width)
-    later = staged(groups.where("doc_id != component_id").select("doc_id").distinct())  # its size decides how it is joined
-    return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
+    later = groups.where("doc_id != component_id").select(F.col("doc_id").alias(fresh(docs, "later"))).distinct()
+    later = staged(later)  # its size decides how it is joined
+    return docs.join(later, docs["doc_id"] == later[later.columns[0]], "left_anti")

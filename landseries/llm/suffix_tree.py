@@ -1,13 +1,16 @@
 """Language-model scores from a probabilistic suffix tree over bytes, beside word counts.
 
 A text is its lower-cased words joined by single spaces, then one end symbol. Contexts are
-the last one to five bytes. A context stays in the tree if its next-byte distribution differs
-enough from its suffix's: n * KL(context || suffix) bits, summed over the corpus, is the
-divergence test. Distributions are smoothed towards the suffix's, down to the uniform one.
+the last one to DEPTH bytes. Those of up to LOW bytes all stay in the tree; a longer one stays
+if its next-byte distribution differs enough from its suffix's: n * KL(context || suffix)
+bits, summed over the corpus, less what describing the distribution costs, is the divergence
+test. Distributions are smoothed towards the suffix's, down to the uniform one. There is no
+limit on states: all that share their last GROUP bytes are one row of a stored table.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,11 +18,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landseries.llm.common import largest, staged
+from landseries.llm.common import known_id, largest, staged, with_null_ids
 from landseries.llm.langid import remainder
 from landseries.llm.tokens import batches_of, words_of
 
-DEPTH = 5
+DEPTH, LOW, GROUP = 5, 2, 3
 #: White space never stands inside a normalised text but as single spaces.
 START, END = b"\n" * DEPTH, b"\n"
 #: The key of the end token among the word hashes.
@@ -92,97 +95,177 @@ def gram_keys(texts: list[bytes]) -> np.ndarray:
     return g[keep]
 
 
-class SuffixTree:
-    """States with dense next-byte log10 probabilities and children by the byte before.
+class Model:
+    """What scoring needs: the low levels whole, states of longer contexts by their last GROUP bytes.
 
-    Columns are the bytes seen in training; column 0 stands for each byte that was not, all
-    of which have the probability that smoothing leaves them.
+    Every state adds, for the symbols seen after it, a log10 probability, and for all others a
+    weight times the probability at its suffix. Contexts of up to LOW bytes are all states.
     """
 
-    def __init__(self, entries: pd.DataFrame, smoothing: float = 4.0):
-        """entries: (depth, gram, n), where gram holds `depth` context bytes and the symbol."""
-        symbol = entries["gram"].to_numpy(np.int64) % 256
-        place = (entries["depth"].to_numpy(np.int64) << 48) + entries["gram"].to_numpy(np.int64) // 256
-        places = np.union1d(place, [0])
-        keys = [(int(p) >> 48, int(p) & (1 << 48) - 1) for p in places]
-        number = {k: i for i, k in enumerate(keys)}
-        seen = np.unique(symbol)
-        self.column = np.zeros(256, np.int32)
-        self.column[seen] = np.arange(1, len(seen) + 1)
-        self.width = len(seen) + 1
-        n = np.zeros((len(keys), self.width))
-        np.add.at(n, (np.searchsorted(places, place), self.column[symbol]), entries["n"].to_numpy(float))
-        self.child = np.zeros(n.shape, np.int32)
-        for (depth, context), i in number.items():
-            if depth:
-                parent = number[depth - 1, context % 256 ** (depth - 1)]
-                self.child[parent, self.column[context >> (8 * (depth - 1))]] = i
-                base = n[parent]
-            else:
-                base = np.full(self.width, 1 / 256)
-            n[i] = (n[i] + smoothing * base) / (n[i].sum() + smoothing)
-        self.log_p = np.log10(n).astype(np.float32)
-
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of each normalised text and its end."""
-        out = np.zeros(len(texts))
-        child, log_p = self.child.ravel(), self.log_p.ravel()
-        for i, j in batches_of(texts, 1 << 19):
-            raw = self.column[framed(texts[i:j])]
-            state = np.zeros(len(raw) - DEPTH, np.int32)
-            alive = np.ones(len(state), bool)
-            for back in range(1, DEPTH + 1):
-                deeper = child[state * self.width + raw[DEPTH - back : len(raw) - back]]
-                alive &= deeper > 0
-                state = np.where(alive, deeper, state)
-            logs = log_p[state * self.width + raw[DEPTH:]]
-            sizes = np.array([len(t) + 1 + DEPTH for t in texts[i:j]])
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            bounds = np.stack([starts, np.minimum(starts + sizes - DEPTH, len(logs))], 1).ravel()
-            out[i:j] = np.add.reduceat(np.append(logs, np.float32(0)), bounds, dtype=np.float64)[::2]
+    def __init__(self, trigrams: np.ndarray, counts: np.ndarray, cold: np.ndarray, packed: list[bytes]):
+        self.cold = cold
+        self.levels: dict[int, tuple[np.ndarray, ...]] = low_levels(trigrams, counts)
+        parts = [unpack_states(x) for x in packed]
+        for k in range(LOW + 1, DEPTH + 1):
+            own = [p[k] for p in parts]
+            state, weight, gram, log_p = (np.concatenate([x[i] for x in own]) if own else np.empty(0, kind) for i, kind in enumerate((np.int64, np.float32, np.int64, np.float32)))
+            a, b = np.argsort(state, kind="stable"), np.argsort(gram, kind="stable")
+            self.levels[k] = state[a], weight[a], gram[b], log_p[b]
+
+    def log_p(self, grams: np.ndarray) -> np.ndarray:
+        """log10 probability of each gram's last byte after the longest state among its suffixes."""
+        out, open_ = np.zeros(len(grams)), np.arange(len(grams))
+        for k in range(DEPTH, -1, -1):
+            state, weight, gram, log_p = self.levels[k]
+            key = grams[open_] % 256 ** (k + 1)
+            if len(state):
+                at = np.minimum(np.searchsorted(gram, key), len(gram) - 1)
+                hit = gram[at] == key
+                out[open_[hit]] += log_p[at[hit]]
+                rest, key = open_[~hit], key[~hit] >> 8
+                at = np.minimum(np.searchsorted(state, key), len(state) - 1)
+                out[rest] += np.where(state[at] == key, weight[at], 0)
+                open_ = rest
+        out[open_] -= np.log10(256)
         return out
 
 
-def grow(grams: DataFrame, min_gain: float = 50.0, max_states: int = 25_000) -> SuffixTree:
-    """The tree from counts (key, n) of contexts of full depth with their next byte.
+def smoothed(n: np.ndarray, total: np.ndarray, kinds: np.ndarray, below: np.ndarray) -> np.ndarray:
+    """Counts n of contexts with these totals and numbers of different symbols, smoothed towards the suffix (Witten-Bell)."""
+    return (n + kinds * below) / (total + kinds)
 
-    Divergence tests run on all counts in Spark; the max_states contexts with the largest
-    gains stay, with their suffixes, so what the driver gets is bounded.
+
+def level_of(gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Contexts with their totals and numbers of symbols, and each gram's place among them; grams are sorted."""
+    context = gram >> 8
+    first = np.nonzero(np.diff(context, prepend=-1))[0] if len(gram) else np.zeros(0, int)
+    kinds = np.diff(np.append(first, len(gram)))
+    total = np.add.reduceat(n, first) if len(first) else n
+    return context[first], total, kinds, np.repeat(np.arange(len(first)), kinds)
+
+
+def low_levels(trigrams: np.ndarray, counts: np.ndarray) -> dict[int, tuple[np.ndarray, ...]]:
+    """Levels 0 to LOW from the counts of all contexts of LOW bytes with their next byte."""
+    grams = {LOW: (trigrams, counts)}
+    for k in range(LOW - 1, -1, -1):
+        grams[k] = merged([(grams[k + 1][0] % 256 ** (k + 1), grams[k + 1][1])])
+    levels, p = {}, None
+    for k in range(LOW + 1):
+        gram, n = grams[k]
+        context, total, kinds, of = level_of(gram, n)
+        below = np.full(len(gram), 1 / 256) if k == 0 else p[np.searchsorted(grams[k - 1][0], gram % 256**k)]
+        p = smoothed(n, total[of], kinds[of], below) if len(gram) else np.zeros(0)
+        levels[k] = context, np.log10(kinds / (total + kinds)).astype(np.float32), gram, np.log10(p).astype(np.float32)
+    return levels
+
+
+def states_of(key: np.ndarray, n: np.ndarray, low: dict[int, tuple[np.ndarray, ...]], min_gain: float) -> dict[int, tuple[np.ndarray, ...]]:
+    """The states (context, log10 weight, gram, log10 p) of depths LOW + 1 to DEPTH, from all grams of their last GROUP bytes.
+
+    A context is a state if coding its symbols by its own distribution instead of its
+    suffix's saves min_gain bits beyond what describing the distribution costs, or if a
+    longer context that ends in it is one.
     """
-    levels = {DEPTH: grams.select(F.col("key").alias("gram"), "n")}
-    for k in range(DEPTH - 1, -1, -1):
-        short = F.col("gram") % F.lit(256 ** (k + 1))
-        levels[k] = staged(levels[k + 1].groupBy(short.alias("gram")).agg(F.sum("n").alias("n")))
-    gains = None
-    for k in range(1, DEPTH + 1):
-        context = F.expr("gram div 256")
-        total = levels[k].groupBy(context.alias("context")).agg(F.sum("n").alias("total"))
-        low_total = levels[k - 1].groupBy(context.alias("low")).agg(F.sum("n").alias("low_total"))
-        low = levels[k - 1].select(F.col("gram").alias("low_gram"), F.col("n").alias("low_n"))
-        rows = (
-            levels[k].withColumn("context", context).join(total, "context")
-            .withColumn("low_gram", F.col("gram") % F.lit(256**k)).withColumn("low", F.expr("low_gram div 256"))
-            .join(low, "low_gram").join(low_total, "low")
-        )
-        bits = F.col("n") * F.log2(F.col("n") * F.col("low_total") / (F.col("total") * F.col("low_n")))
-        level = rows.groupBy("context").agg(F.sum(bits).alias("gain")).where(F.col("gain") >= min_gain)
-        level = level.select(F.lit(k).alias("depth"), "context", "gain")
-        gains = level if gains is None else gains.unionByName(level)
-    best = largest(staged(gains), "gain", max_states).select("depth", "context").collect()
-    kept = {(d - i, c % 256 ** (d - i)) for d, c in best for i in range(d)} | {(0, 0)}
+    grams = {DEPTH: (key, n)}
+    for k in range(DEPTH - 1, LOW, -1):
+        grams[k] = merged([(grams[k + 1][0] % 256 ** (k + 1), grams[k + 1][1])])
+    levels = {k: level_of(*g) for k, g in grams.items()}
+    out, p = {}, None
+    kept = {k: np.zeros(len(x[0]), bool) for k, x in levels.items()}
+    for k in range(LOW + 1, DEPTH + 1):
+        gram, count = grams[k]
+        context, total, kinds, of = levels[k]
+        at = np.searchsorted(low[LOW][2] if k == LOW + 1 else grams[k - 1][0], gram % 256**k)
+        below = 10.0 ** low[LOW][3][at] if k == LOW + 1 else p[at]
+        p = smoothed(count, total[of], kinds[of], below)
+        saved = np.bincount(of, count * np.log2(p / below), len(context))
+        kept[k] = saved - 0.5 * kinds * np.log2(total + 1) >= min_gain
+        out[k] = context, np.log10(kinds / (total + kinds)), gram, np.log10(p)
+    for k in range(DEPTH, LOW + 1, -1):
+        up = np.searchsorted(levels[k - 1][0], levels[k][0][kept[k]] % 256 ** (k - 1))
+        kept[k - 1][up] = True
+    return {k: (c[kept[k]], w[kept[k]], g[kept[k][levels[k][3]]], q[kept[k][levels[k][3]]]) for k, (c, w, g, q) in out.items()}
+
+
+def pack_states(states: dict[int, tuple[np.ndarray, ...]]) -> bytes:
+    sizes = np.array([len(x) for k in sorted(states) for x in (states[k][0], states[k][2])], "<i8")
+    parts = [x.astype(t).tobytes() for k in sorted(states) for x, t in zip(states[k], ("<i8", "<f4", "<i8", "<f4"), strict=True)]
+    return zlib.compress(sizes.tobytes() + b"".join(parts), 1)
+
+
+def unpack_states(packed: bytes) -> dict[int, tuple[np.ndarray, ...]]:
+    raw, levels, at = zlib.decompress(packed), range(LOW + 1, DEPTH + 1), 0
+    sizes = np.frombuffer(raw, "<i8", 2 * len(levels))
+    at, out = sizes.nbytes, {}
+    for k, (states, grams) in zip(levels, sizes.reshape(-1, 2), strict=True):
+        out[k] = ()
+        for size, kind in ((states, "<i8"), (states, "<f4"), (grams, "<i8"), (grams, "<f4")):
+            part = np.frombuffer(raw, kind, size, at)
+            out[k] += (part,)
+            at += part.nbytes
+    return out
+
+
+def grow(grams: DataFrame, min_gain: float) -> tuple[np.ndarray, np.ndarray, DataFrame]:
+    """Counts of contexts of LOW bytes with their next byte (at most 2**24, in fact as many as the
+    writing systems have), and the table (part, n, entries, states) of all longer states by their last
+    GROUP bytes. Divergence tests, smoothing and states stay in Spark and grow with the corpus."""
     spark = grams.sparkSession
-    chosen = spark.createDataFrame(pd.DataFrame(sorted(kept), columns=["depth", "context"]), "depth int, context long")
-    parts = [
-        levels[k].withColumn("context", F.expr("gram div 256")).withColumn("depth", F.lit(k)).join(F.broadcast(chosen), ["depth", "context"])
-        for k in range(DEPTH + 1)
-    ]
-    entries = parts[0]
-    for p in parts[1:]:
-        entries = entries.unionByName(p)
-    return SuffixTree(entries.select("depth", "gram", "n").toPandas())
-
-
-def score(docs: DataFrame, folds: int = 7, held_out: int = 2, frequent: int = 100_000, min_gain: float = 50.0, max_states: int = 25_000) -> DataFrame:
+    low = grams.groupBy((F.col("key") % F.lit(256 ** (LOW + 1))).alias("gram")).agg(F.sum("n").alias("n")).toPandas().sort_values("gram")
+    trigrams, counts = low["gram"].to_numpy(np.int64), low["n"].to_numpy(np.int64)
+    shared = spark.sparkContext.broadcast((trigrams, counts))
+
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        levels = low_levels(*shared.value)
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def done() -> Iterator[pd.DataFrame]:
+            part, key, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            cuts = np.nonzero(np.diff(part, prepend=-1))[0]
+            for i, j in zip(cuts, np.append(cuts[1:], len(part)), strict=True):
+                order = np.argsort(key[i:j], kind="stable")
+                states = states_of(key[i:j][order], n[i:j][order], levels, min_gain)
+                size = sum(len(s[2]) for s in states.values())
+                if size:
+                    yield pd.DataFrame({"part": [part[i]], "n": [int(n[i:j].sum())], "entries": [size], "states": [pack_states(states)]})
+
+        for b in batches:
+            part, key, n = (b[c].to_numpy() for c in ("part", "key", "n"))
+            cut = int(np.searchsorted(part, part[-1])) if len(part) else 0
+            if cut:
+                held.append((part[:cut], key[:cut], n[:cut]))
+                yield from done()
+                held = []
+            if len(part):
+                if held and held[0][0][0] != part[cut]:
+                    yield from done()
+                    held = []
+                held.append((part[cut:], key[cut:], n[cut:]))
+        if held:
+            yield from done()
+
+    part = F.expr(f"(key div 256) % {256**GROUP}")
+    rows = grams.select(part.alias("part"), "key", "n").repartition("part").sortWithinPartitions("part")
+    return trigrams, counts, staged(rows.mapInPandas(build, "part long, n long, entries long, states binary"))
+
+
+def loaded(trigrams: np.ndarray, counts: np.ndarray, states: DataFrame, cached: int) -> Model:
+    """A model with the states of the commonest last bytes, at most `cached` entries; the others are marked cold."""
+    density = F.floor(F.log2(F.col("n") / F.col("entries")) * 8)
+    sizes = sorted(((r[0], r[1]) for r in states.groupBy(density).agg(F.sum("entries")).collect()), reverse=True)
+    total, least = 0, None
+    for d, size in sizes:
+        total += size
+        if total > cached:
+            break
+        least = d
+    hot = (density >= F.lit(least)) if least is not None else F.lit(False)
+    cold = np.zeros(256**GROUP, bool)
+    cold[states.where(~hot).select("part").toPandas()["part"].to_numpy(np.int64)] = True
+    return Model(trigrams, counts, np.packbits(cold), [r[0] for r in states.where(hot).select("states").toLocalIterator()])
+
+
+def score(docs: DataFrame, folds: int = 7, held_out: int = 2, frequent: int = 100_000, min_gain: float = 4.0, cached: int = 4_000_000) -> DataFrame:
     """Scores of every row of docs (doc_id, text), learned from the rows outside the held-out fold.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score (word counts with
@@ -190,28 +273,31 @@ def score(docs: DataFrame, folds: int = 7, held_out: int = 2, frequent: int = 10
     empty: their only token is the end. Rows of a null id are learned from (their remainder
     isn't the held-out one) and count as not held out. Repeated rows come out repeated; an
     empty table gives no rows; further columns are ignored. Words are told apart by 64-bit hashes.
-    The counts of the `frequent` commonest words are broadcast; the others meet their
-    occurrences in a join, so no part of the vocabulary is left out.
+
+    Tasks hold the counts of the `frequent` commonest words and the tree's entries, up to
+    `cached`, of the commonest last bytes. Other words and other bytes meet their counts and
+    states in joins, so no part of the vocabulary or the tree is left out.
     """
     spark = docs.sparkSession
     fold = F.coalesce(remainder("doc_id", folds) == held_out, F.lit(False))
     training = docs.where(~fold).select("text")
     counts = staged(count_keys(training, word_keys))
     total, vocabulary = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    tree = grow(staged(count_keys(training, gram_keys)), min_gain, max_states)
+    trigrams, numbers, states = grow(staged(count_keys(training, gram_keys)), min_gain)
     top = largest(counts, "n", frequent).toPandas().sort_values("key")
     known = spark.sparkContext.broadcast((top["key"].to_numpy(np.int64), top["n"].to_numpy(np.int64)))
-    shared = spark.sparkContext.broadcast(tree)
+    shared = spark.sparkContext.broadcast(loaded(trigrams, numbers, states, cached))
     size = np.log10(total + vocabulary + 1.0)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = shared.value
         keys, n = known.value
         keys, n = np.append(keys, np.iinfo(np.int64).max), np.append(n, 0)
+        cold = np.unpackbits(model.cold)
         for b in batches:
             texts = [normalised(t) for t in b["text"]]
             rows = b["row"].to_numpy()
-            scores = shared.value.scores(texts)
-            for i, j in batches_of(texts, 1 << 22):
+            for i, j in batches_of(texts, 1 << 20):
                 hashes, sizes = words_of(texts[i:j])
                 words = np.append(hashes.view(np.int64), np.full(j - i, END_KEY, np.int64))
                 doc = np.append(np.repeat(np.arange(j - i), sizes), np.arange(j - i))
@@ -219,35 +305,54 @@ def score(docs: DataFrame, folds: int = 7, held_out: int = 2, frequent: int = 10
                 found = keys[at] == words
                 c = n[at] * found
                 here = doc[found]
+                grams = gram_keys(texts[i:j])
+                of = np.repeat(np.arange(j - i), [len(t) + 1 for t in texts[i:j]])
+                away = cold[grams >> 8 & 256**GROUP - 1] > 0
+                distinct, place = np.unique(grams[~away], return_inverse=True)
+                logs = np.bincount(of[~away], model.log_p(distinct)[place], j - i)
                 yield pd.DataFrame({
-                    "row": rows[i:j], "doc_id": b["doc_id"].to_numpy()[i:j], "key": pd.array([None] * (j - i), "Int64"), "n": sizes + 1,
+                    "row": rows[i:j], "doc_id": b["doc_id"].to_numpy()[i:j], "kind": 0, "key": pd.array([None] * (j - i), "Int64"), "n": sizes + 1,
                     "known": np.bincount(here, c[found] > 0, j - i).astype(np.int64),
-                    "base": np.bincount(here, np.log10(c[found] + 1.0) - size, j - i), "score": scores[i:j],
+                    "base": np.bincount(here, np.log10(c[found] + 1.0) - size, j - i), "score": logs,
                 })
-                w, d = words[~found], doc[~found]
-                if len(w):
-                    order = np.lexsort((w, d))
-                    w, d = w[order], d[order]
-                    first = np.nonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (d[1:] != d[:-1])]))[0]
-                    yield pd.DataFrame({
-                        "row": rows[i:j][d[first]], "doc_id": None, "key": w[first], "n": np.diff(np.append(first, len(w))),
-                        "known": None, "base": None, "score": None,
-                    })
-
-    numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-    both = staged(numbered.mapInPandas(run, "row long, doc_id long, key long, n long, known long, base double, score double"))
+                for kind, w, d in ((1, words[~found], doc[~found]), (2, grams[away], of[away])):
+                    if len(w):
+                        order = np.lexsort((w, d))
+                        w, d = w[order], d[order]
+                        first = np.nonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (d[1:] != d[:-1])]))[0]
+                        yield pd.DataFrame({"row": rows[i:j][d[first]], "doc_id": 0, "kind": kind, "key": w[first], "n": np.diff(np.append(first, len(w))), "known": None, "base": None, "score": None})
+
+    numbered = docs.select(known_id(), "text", F.monotonically_increasing_id().alias("row"))
+    both = staged(numbered.mapInPandas(run, "row long, doc_id long, kind int, key long, n long, known long, base double, score double"))
     c = F.coalesce("c", F.lit(0))
     rest = (
-        both.where("key is not null").select("row", "key", "n")
+        both.where("kind = 1").select("row", "key", "n")
         .join(counts.withColumnRenamed("n", "c"), "key", "left")
         .groupBy("row")
         .agg(F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("more"), F.sum(F.col("n") * (F.log10(c + 1.0) - F.lit(float(size)))).alias("rest"))
     )
-    return (
-        both.where("key is null").join(rest, "row", "left")
-        .select(
-            "doc_id", fold.alias("held_out"), F.col("n").alias("n_tokens"),
-            (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
-            (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score",
-        )
+    sums = with_null_ids(both.where("kind = 0").select("row", "doc_id", "n", "known", "base", "score")).join(rest, "row", "left")
+    sums = sums.join(cold_scores(both.where("kind = 2").select("row", "key", "n"), trigrams, numbers, states), "row", "left")
+    return sums.select(
+        "doc_id", fold.alias("held_out"), F.col("n").alias("n_tokens"),
+        (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
+        (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("cold", F.lit(0.0))).alias("score"),
     )
+
+
+def cold_scores(asked: DataFrame, trigrams: np.ndarray, counts: np.ndarray, states: DataFrame) -> DataFrame:
+    """(row, cold): the summed log10 probabilities of asked (row, key, n), by the states of their last bytes."""
+    shared = asked.sparkSession.sparkContext.broadcast((trigrams, counts))
+    part = F.expr(f"(key div 256) % {256**GROUP}")
+
+    def look(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left):
+            return pd.DataFrame({"row": [], "cold": []})
+        model = Model(*shared.value, np.zeros(0, np.uint8), list(right["states"]))
+        return pd.DataFrame({"row": left["row"], "cold": model.log_p(left["key"].to_numpy()) * left["n"]})
+
+    keyed = asked.withColumn("part", part).withColumn("bucket", F.pmod(F.xxhash64("part"), F.lit(1 << 10)))
+    held = states.select("part", "states").withColumn("bucket", F.pmod(F.xxhash64("part"), F.lit(1 << 10)))
+    needed = held.join(keyed.select("part").distinct(), "part", "left_semi")
+    found = keyed.groupBy("bucket").cogroup(needed.groupBy("bucket")).applyInPandas(look, "row long, cold double")
+    return found.groupBy("row").agg(F.sum("cold").alias("cold"))
