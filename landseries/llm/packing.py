@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -12,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from landseries.llm.common import known_id, with_null_ids
+
 CAPACITY = 2048
 
 
@@ -28,25 +31,50 @@ def encoder(ranks_path: str):
     return tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": len(ranks)})
 
 
+@lru_cache(maxsize=2)
+def plain_tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+#: Texts with so long a run of white space go to `tokenizers`: the other's pattern gives up on them.
+LONG_RUN = re.compile(r"\s{1000}")
+
+
+def ids_of(text: str, ranks_path: str, json_path: str) -> np.ndarray:
+    """The ids that `tokenizers` gives, taken from the same vocabulary by `tiktoken`, which is faster."""
+    if LONG_RUN.search(text):
+        return np.array(plain_tokenizer(json_path).encode(text, add_special_tokens=False).ids, np.uint32)
+    return encoder(ranks_path).encode_to_numpy(text, allowed_special="all")
+
+
+def default_json() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def default_ranks() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def pieces(docs: DataFrame, ranks_path: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, ranks_path: str | None = None, json_path: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every row: its ids and a final 0, cut at capacity.
 
     Only the first piece may be shorter. Null texts count as empty: one piece that holds id 0.
+    The two files hold one vocabulary. Null ids stay null, repeated rows come out repeated,
+    an empty table gives no rows, further columns are ignored.
     """
-    ranks = ranks_path or default_ranks()
+    ranks, json = ranks_path or default_ranks(), json_path or default_json()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(ranks).encode_to_numpy
         for b in batches:
             rows = []
             for doc, text in zip(b["doc_id"], b["text"], strict=True):
-                ids = np.append(encode(text or "", allowed_special="all"), 0).astype("<u4")
+                ids = np.append(ids_of(text or "", ranks, json), 0).astype("<u4")
                 first = len(ids) % capacity or min(capacity, len(ids))
                 ends = range(first, len(ids) + 1, capacity)
                 for k, end in enumerate(ends):
@@ -58,7 +86,7 @@ def pieces(docs: DataFrame, ranks_path: str | None = None, capacity: int = CAPAC
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return with_null_ids(docs.select(known_id(), "text").mapInPandas(run, schema))
 
 
 class Counts:
@@ -91,22 +119,22 @@ class Counts:
         size = 1 << (2 * self.capacity + 2).bit_length()
         return np.fft.irfft(np.fft.rfft(stock, size) ** 2, size)[: self.capacity + 1] > 0.5
 
-    def exact(self) -> None:
-        """Fill gaps exactly: by one length, then by a pair's sum, then by a triple's."""
+    def exact(self, most: int) -> None:
+        """Fill gaps exactly: by one length, then by a pair's sum, then by a triple's; by up to `most` together."""
         cap = self.capacity
         if self.left[cap]:
             self.take(cap)
         down = range(cap - 1, 0, -1)
-        for x in down:
+        for x in down if most > 0 else ():
             if self.left[x] and 2 * x >= cap:
                 self.take(x, cap - x)
-        for x in down:
+        for x in down if most > 1 else ():
             if self.left[x]:
                 for pair in self.pair_for(cap - x):
                     self.take(x, *pair)
                     if not self.left[x]:
                         break
-        for x in down:
+        for x in down if most > 2 else ():
             if not self.left[x]:
                 continue
             reach = self.pair_sums()
@@ -145,10 +173,17 @@ class Counts:
 
 def plan(counts: np.ndarray, capacity: int = CAPACITY) -> pd.DataFrame:
     """Slots (length, first_rank, n, sequence, offset): the items of a length with ranks from first_rank
-    on go to n sequences numbered from `sequence`, at this offset. The work depends on the capacity alone."""
-    stock = Counts(counts, capacity)
-    stock.exact()
-    stock.best_fit()
+    on go to n sequences numbered from `sequence`, at this offset. The work depends on the capacity alone.
+
+    Exact fills by triples, by pairs, by single lengths and none are tried before best fit; the
+    plan of fewest sequences stays, for fills can use up the short items that best fit needs."""
+    tried = []
+    for most in (3, 2, 1, 0):
+        stock = Counts(counts, capacity)
+        stock.exact(most)
+        stock.best_fit()
+        tried.append(stock)
+    stock = min(tried, key=lambda t: sum(n for _, n in t.patterns))
     rows, used, sequence = [], np.zeros(capacity + 1, np.int64), 0
     for pattern, times in stock.patterns:
         offset = 0
@@ -164,6 +199,9 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY) -> pd.DataFrame:
 def place(rows: DataFrame, capacity: int = CAPACITY, per_bucket: int = 20_000) -> DataFrame:
     """rows (doc_id, piece, length, ...) with sequence_id and offset; rows must be a stored table.
 
+    Rows of null ids and repeated rows are placed like others, each once; an empty table stays
+    empty; columns that rows has besides stay.
+
     Only the histogram of lengths (capacity numbers) reaches the driver. An item's rank among
     those of its length is the number in earlier buckets plus its place in its own, so a
     length that many items share is ranked in many tasks.
@@ -174,7 +212,7 @@ def place(rows: DataFrame, capacity: int = CAPACITY, per_bucket: int = 20_000) -
     counts[histogram["length"].to_numpy(np.int64)] = histogram["count"]
     slots = plan(counts, capacity)
     buckets = max(16, int(counts.sum()) // per_bucket)
-    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
+    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
     before = (
         dealt.groupBy("length", "bucket").count()
         .withColumn("before", F.sum("count").over(Window.partitionBy("length").orderBy("bucket")) - F.col("count"))
