@@ -135,11 +135,20 @@ def length_code(n: int, sizes: int) -> tuple[list[int], list[int], int]:
     return code.symbol.tolist(), code.size.tolist(), (1 << code.top) - 1
 
 
+@lru_cache(maxsize=512)
+def lone(symbol: int) -> Prefix:
+    lengths = np.zeros(symbol + 1, np.int64)
+    lengths[symbol] = 1
+    return Prefix(lengths)
+
+
 def read_prefix(bits: Bits, size: int) -> Prefix:
-    lengths = np.zeros(size, np.int64)
     if bits.read(1):
         two = bits.read(1)
         symbols = [bits.read(8 if bits.read(1) else 1)] + ([bits.read(8)] if two else [])
+        if len(set(symbols)) == 1:
+            return lone(symbols[0])
+        lengths = np.zeros(size, np.int64)
         lengths[symbols] = 1
         return Prefix(lengths)
     n = 4 + bits.read(4)
@@ -165,8 +174,7 @@ def read_prefix(bits: Bits, size: int) -> Prefix:
     bits.at += used
     if len(out) > size or bits.at > 8 * len(bits.data):
         raise ValueError("too many code lengths")
-    lengths[: len(out)] = out
-    return Prefix(lengths)
+    return Prefix(np.array(out))
 
 
 def extended(bits: Bits, symbol: int) -> int:
@@ -625,6 +633,13 @@ def copies_in(pixels: np.ndarray) -> list[tuple[int, int, int]]:
         at = i + max(size, 1)
 
 
+def edge_before(start: np.ndarray, size: np.ndarray, n: int) -> np.ndarray:
+    """What to take from the places of pixels, summed up, for their places among tokens."""
+    out = np.zeros(n + 1, np.int64)
+    out[start + size] = size - 1
+    return out
+
+
 def entropy(counts: np.ndarray) -> float:
     """Bits that symbols of these counts take, with what describing their code takes."""
     c = counts[counts > 0]
@@ -652,8 +667,8 @@ def write_image(w: Writer, pixels: np.ndarray, main: bool) -> np.ndarray:
         return [np.bincount(own >> s & 255, minlength=256) for s in (8, 16, 0, 24)]
 
     counts, cache_bits, cached, key = tables(p), 0, None, None
-    if main and len(p) > 64:
-        bits_ = 6 if len(pixels) < 2000 else 8 if len(pixels) < 20000 else 10
+    if main and len(p) > 4096:  # fewer pixels hardly repay the longer code
+        bits_ = 8 if len(pixels) < 20000 else 10
         key = (0x1E35A7BD * pixels & 0xFFFFFFFF) >> (32 - bits_)
         order = np.argsort(key, kind="stable")
         again = np.zeros(len(pixels), bool)
@@ -669,25 +684,30 @@ def write_image(w: Writer, pixels: np.ndarray, main: bool) -> np.ndarray:
     w.put(cache_bits << 1 | 1 if cache_bits else 0, 5 if cache_bits else 1)
     if main:
         w.put(0, 1)  # one group of codes
-    sizes = [code_lengths(x) for x in (np.concatenate([counts[0], lengths]), *counts[1:], np.bincount(dist, minlength=40))]
+    counts[0] = np.concatenate([counts[0], lengths])
+    sizes = [code_lengths(x) for x in (*counts, np.bincount(dist, minlength=40))]
     for x in sizes:
         write_prefix(w, x)
     codes = [codes_of(x) for x in sizes]
     sizes = [x if np.count_nonzero(x) > 1 else np.zeros_like(x) for x in sizes]  # a lone symbol takes no bits
     n = len(at) + len(start)
-    value, bits = np.zeros((n, 4), np.int64), np.zeros((n, 4), np.int64)
-    places = np.concatenate([at, start])
-    rank = np.argsort(places, kind="stable")
-    row = np.empty(n, np.int64)
-    row[rank] = np.arange(n)
-    of_pixel, of_copy = row[: len(at)], row[len(at) :]
-    full = np.ones(len(at), bool) if cached is None else ~cached
-    for k, s in enumerate((8, 16, 0, 24)):
-        symbol = p[full] >> s & 255
-        value[of_pixel[full], k], bits[of_pixel[full], k] = codes[k][symbol], sizes[k][symbol]
+    parts_used = 4 if found else sum(1 for x in sizes[:4] if x.any()) or 1
+    value, bits = np.zeros((n, parts_used), np.int64), np.zeros((n, parts_used), np.int64)
+    of_pixel = slice(None)
+    if found:
+        of_pixel = at - np.cumsum(edge_before(start, size, len(pixels)))[at]
+        of_copy = np.arange(len(start)) + np.searchsorted(at, start)
+    full = slice(None) if cached is None else ~cached
+    own, rows = p[full], of_pixel if cached is None else (of_pixel[full] if found else np.nonzero(full)[0])
+    column = 0
+    for k, shift in enumerate((8, 16, 0, 24)):
+        if sizes[k].any():
+            symbol = own >> shift & 255
+            value[rows, column], bits[rows, column] = codes[k][symbol], sizes[k][symbol]
+            column += 1
     if cached is not None:
-        symbol = 280 + key[at[cached]]
-        value[of_pixel[cached], 0], bits[of_pixel[cached], 0] = codes[0][symbol], sizes[0][symbol]
+        symbol, rows = 280 + key[at[cached]], of_pixel[cached] if found else np.nonzero(cached)[0]
+        value[rows, 0], bits[rows, 0] = codes[0][symbol], sizes[0][symbol]
     if found:
         value[of_copy, 0], bits[of_copy, 0] = codes[0][256 + length], sizes[0][256 + length]
         value[of_copy, 1], bits[of_copy, 1] = length_bits, length_extra
@@ -719,7 +739,7 @@ def encode(samples: np.ndarray) -> bytes:
     green = pixels >> 8 & 255
     less_green = pixels & 0xFF00FF00 | ((pixels >> 16) - green & 255) << 16 | (pixels - green & 255)
     options = [(cost(pixels), 0), (cost(less_green), 1)]
-    some = pixels.ravel()[:4096]
+    some = pixels.ravel()[:512]
     colours = np.unique(some)
     colours = np.unique(pixels) if len(colours) <= 256 and pixels.size > some.size else colours
     if len(colours) <= 256:
