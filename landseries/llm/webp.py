@@ -102,7 +102,7 @@ class Prefix:
         if not len(used):
             raise ValueError("an empty prefix code")
         if self.only is not None:
-            self.top, self.symbol, self.size = 0, used.astype(np.int32), np.zeros(1, np.int32)
+            self.top, self.symbol, self.size = 0, used, np.zeros(1, np.int64)
             return
         order = used[np.argsort(lengths[used], kind="stable")]
         size = lengths[order].astype(np.int64)
@@ -111,8 +111,8 @@ class Prefix:
         if times.sum() != 1 << self.top:
             raise ValueError("not a full prefix code")
         back = reversed_bits(self.top)
-        self.symbol = np.repeat(order, times).astype(np.int32)[back]
-        self.size = np.repeat(size, times).astype(np.int32)[back]
+        self.symbol = np.repeat(order, times)[back]
+        self.size = np.repeat(size, times)[back]
 
     def read(self, bits: Bits) -> int:
         if self.only is not None:
@@ -248,25 +248,24 @@ def read_tokens(bits: Bits, codes: list[Prefix], width: int, total: int, step: i
     if all(c.only is not None for c in codes[:4]) and green.only < 256:
         argb = alpha.only << 24 | red.only << 16 | green.only << 8 | blue.only
         return np.zeros(total, np.int64), np.full(total, argb), np.ones(total, np.int64)
-    raw = np.frombuffer(bits.data, np.uint8)
     while done < total:
         first, shift = bits.at >> 3, bits.at & 7
-        size = min(step >> 3, len(raw) - first)
+        size = min(step >> 3, len(bits.data) - first)
         if size <= 0:
             raise ValueError("the stream ends early")
-        part = np.zeros(size + 40, np.uint64)
-        part[: min(size + 40, len(raw) - first)] = raw[first : first + size + 40]
-        five = part[:-4] | part[1:-3] << np.uint64(8) | part[2:-2] << np.uint64(16) | part[3:-1] << np.uint64(24) | part[4:] << np.uint64(32)
-        window = ((five[:, None] >> np.arange(8, dtype=np.uint64)) & np.uint64(0xFFFFFFFF)).ravel().astype(np.int64)
+        part = bits.data[first : first + size + 40]
+        part += b"\0" * (size + 40 - len(part))
+        window = (np.ndarray((len(part) - 3,), "<u4", part, strides=(1,))[:, None] >> np.arange(8, dtype=np.uint32)).ravel().astype(np.int64)  # 25 bits are whole
 
         def symbols(code: Prefix, at: np.ndarray) -> np.ndarray:
-            return np.full(len(at), code.only) if code.only is not None else code.symbol[window[at] & ((1 << code.top) - 1)].astype(np.int64)
+            return np.full(len(at), code.only) if code.only is not None else code.symbol[window[at] & ((1 << code.top) - 1)]
 
         def behind(code: Prefix, at: np.ndarray) -> np.ndarray:
             return at if code.only is not None else at + code.size[window[at] & ((1 << code.top) - 1)]
 
         after = np.arange(8 * size)
-        after = behind(green, after)
+        if green.only is None:
+            after += green.size[window[: 8 * size] & ((1 << green.top) - 1)]
         to = behind(alpha, behind(blue, behind(red, after)))
         if green.symbol.max() >= 256:
             to = to.copy() if to is after else to
@@ -339,13 +338,18 @@ def resolved(kind: np.ndarray, value: np.ndarray, length: np.ndarray, total: int
         pointer = jumped(pointer)
     cached = start[kind == 2]
     if len(cached):
-        key = (0x1E35A7BD * pixel & 0xFFFFFFFF) >> (32 - cache_bits)
-        key[cached] = value[kind == 2]
-        key = key[pointer]
-        order = np.argsort(key, kind="stable")
-        before = np.full(total, -1)
-        before[order[1:]] = np.where(key[order[1:]] == key[order[:-1]], order[:-1], -1)
-        pointer[cached] = np.where(before[cached] >= 0, before[cached], cached)  # an entry never written is 0
+        own_key = (0x1E35A7BD * pixel & 0xFFFFFFFF) >> (32 - cache_bits)
+        own_key[cached] = value[kind == 2]
+        while True:
+            key = own_key[pointer]
+            order = np.argsort(key, kind="stable")
+            before = np.full(total, -1)
+            before[order[1:]] = np.where(key[order[1:]] == key[order[:-1]], order[:-1], -1)
+            never = cached[(before[cached] < 0) & (key[cached] > 0)]
+            if not len(never):
+                break
+            own_key[never] = 0  # an entry never written is pixel 0, which has this key
+        pointer[cached] = np.where(before[cached] >= 0, before[cached], cached)
         pointer = jumped(pointer)
     return pixel[pointer]
 
