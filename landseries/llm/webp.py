@@ -340,16 +340,17 @@ def resolved(kind: np.ndarray, value: np.ndarray, length: np.ndarray, total: int
     if len(cached):
         own_key = (0x1E35A7BD * pixel & 0xFFFFFFFF) >> (32 - cache_bits)
         own_key[cached] = value[kind == 2]
+        blank = np.zeros(total, bool)
         while True:
             key = own_key[pointer]
             order = np.argsort(key, kind="stable")
             before = np.full(total, -1)
             before[order[1:]] = np.where(key[order[1:]] == key[order[:-1]], order[:-1], -1)
-            never = cached[(before[cached] < 0) & (key[cached] > 0)]
+            never = cached[(before[cached] < 0) & ~blank[cached]]
             if not len(never):
                 break
-            own_key[never] = 0  # an entry never written is pixel 0, which has this key
-        pointer[cached] = np.where(before[cached] >= 0, before[cached], cached)
+            own_key[never], blank[never] = 0, True  # an entry never written is pixel 0, which has key 0
+        pointer[cached] = np.where(blank[cached], cached, before[cached])
         pointer = jumped(pointer)
     return pixel[pointer]
 
