@@ -79,29 +79,11 @@ def covering(t: Tables) -> DataFrame:
     return wide.select("vec_id", F.coalesce(F.when(F.col("vec_id") % 3 == 0, F.col("0")), F.when(F.col("vec_id") % 2 == 0, F.col("1")), F.lit(0)).alias("label"))
 
 
-@query("fu9_mean_probabilities", "SELECT label, i - 1 AS class, round(avg(p), 9) AS p FROM (SELECT label, unnest(proba) AS p, unnest(range(1, 11)) AS i FROM proba) GROUP BY 1, 2")
-def mean_probabilities(t: Tables) -> DataFrame:
-    return t.proba.select("label", F.posexplode("proba").alias("class", "p")).groupBy("label", F.col("class").cast("long").alias("class")).agg(F.round(F.avg("p"), 9).alias("p"))
-
-
 @query("fu10_votes", "SELECT vec_id, count(*) FILTER (prod <> 0) AS votes FROM pred GROUP BY 1")
 def votes(t: Tables) -> DataFrame:
     return t.pred.groupBy("vec_id").agg(F.count_if(F.col("prod") != 0).alias("votes"))
 
 
-@query("fu11_confidence_of_vote", """SELECT vec_id, CAST(floor(avg(CASE WHEN prod = 0 THEN 0 WHEN prod = label THEN conf ELSE 1 - conf END) * 100 + 1e-9) AS INTEGER) AS conf FROM pred JOIN v USING (vec_id) GROUP BY 1""",
-       "v AS (SELECT vec_id, max(prod) AS label FROM pred GROUP BY 1)")
-def vote_confidence(t: Tables) -> DataFrame:
-    winner = t.pred.groupBy("vec_id").agg(F.max("prod").alias("label"))
-    part = F.when(F.col("prod") == 0, 0.0).when(F.col("prod") == F.col("label"), F.col("conf")).otherwise(1 - F.col("conf"))
-    return t.pred.join(winner, "vec_id").groupBy("vec_id").agg(F.floor(F.avg(part) * 100 + 1e-9).cast("int").alias("conf"))
-
-
-@query("ms1_region_sum", "SELECT x // 10 AS tx, y // 10 AS ty, CAST(sum(label) AS BIGINT) AS label FROM grid GROUP BY 1, 2")
-def region_sum(t: Tables) -> DataFrame:
-    return t.grid.groupBy(F.floor(F.col("x") / 10).alias("tx"), F.floor(F.col("y") / 10).alias("ty")).agg(F.sum("label").alias("label"))
-
-
 @query("ms2_mosaic", "SELECT x, y, coalesce(arg_max(label, k) FILTER (label <> 0), 0) AS label FROM (SELECT x % 50 AS x, y, CASE WHEN label = 3 THEN 0 ELSE label END AS label, x AS k FROM grid) GROUP BY 1, 2")
 def mosaic(t: Tables) -> DataFrame:
     rows = t.grid.select((F.col("x") % 50).alias("x"), "y", F.when(F.col("label") == 3, 0).otherwise(F.col("label")).alias("label"), F.col("x").alias("k"))
@@ -192,12 +174,6 @@ def interval(t: Tables) -> DataFrame:
     return i.select(F.round("mean", 9).alias("mean"), F.round("half_width", 9).alias("half_width"))
 
 
-@query("va9_report", "SELECT ref, arg_max(prod, (n, prod)) AS most_given, CAST(sum(n) AS BIGINT) AS total, CAST(sum(n) FILTER (ref = prod) AS BIGINT) AS hit FROM (SELECT ref, prod, CAST(sum(n) AS BIGINT) AS n FROM cm GROUP BY 1, 2) GROUP BY 1", CM)
-def report(t: Tables) -> DataFrame:
-    m = matrix(t).groupBy("ref", "prod").agg(F.sum("n").alias("n"))
-    return m.groupBy("ref").agg(F.max_by("prod", F.struct("n", "prod")).alias("most_given"), F.sum("n").alias("total"), F.sum(F.when(F.col("ref") == F.col("prod"), F.col("n"))).alias("hit"))
-
-
 @query("wn3_most_confused", "SELECT seed, ref, prod, n, CAST(k AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY seed, ref ORDER BY n DESC, prod DESC) AS k FROM cm) WHERE k <= 3", CM)
 def most_confused(t: Tables) -> DataFrame:
     return accuracy.most_confused(matrix(t), 3, ["seed"])

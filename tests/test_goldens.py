@@ -51,3 +51,9 @@ def test_entry_without_the_subpackage(monkeypatch):
     entry = importlib.import_module("__spark_entry__")
     assert entry.llm is None and len(entry.queries()) > 100
     sys.modules.pop("__spark_entry__", None)
+
+
+def test_quantiles_beyond_the_table():
+    from landseries.operators.accuracy import quantile95
+
+    assert abs(quantile95(11) - 2.2010) < 2e-3 and abs(quantile95(30) - 2.0423) < 2e-4
