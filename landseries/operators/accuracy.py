@@ -83,7 +83,7 @@ def quantile95(degrees: int) -> float:
     if degrees in T95:
         return T95[degrees]
     z = 1.959964
-    return z + (z**3 + z) / (4 * degrees) + (5 * z**5 + 16 * z**3 + 3 * z) / (96 * degrees**2)
+    return z + (z**3 + z) / (4 * degrees) + (5 * z**5 + 16 * z**3 + 3 * z) / (96 * degrees**2) + (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / (384 * degrees**3)
 
 
 def interval(scores: DataFrame, column: str, degrees: int, by: Sequence[str] = ()) -> DataFrame:
