@@ -361,7 +361,8 @@ def remove_later(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """
     id_, gone = fresh(docs, "id"), fresh(docs, "gone")
     later = matched_lines(docs.select("doc_id", "text"), similarity).where("removed").distinct().groupBy(F.col("doc_id").alias(id_))
-    later = later.agg(F.collect_set("line_no").alias(gone)).hint("merge")  # bounded by a text's lines; grows with the texts, so never broadcast
+    later = staged(later.agg(F.collect_set("line_no").alias(gone)))  # bounded by a text's lines
+    later = later.hint("merge")  # it grows with the texts and is never broadcast
     # the index of a line among all lines of its text
     kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains(gone, i))
     hit = F.col(gone).isNotNull()
