@@ -29,6 +29,8 @@ MARK = "▁"
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: A worker forgets the segments that it has encoded beyond this many and begins anew.
 REMEMBERED = 300_000
+#: Hashes of pieces are found by this many leading bits.
+SLOT_BITS = 20
 
 
 def default_model() -> str:
@@ -64,6 +66,20 @@ class Vocabulary:
         self.keys = keys[order]
         self.ids = np.array([i for _, i, _ in normal], np.int32)[order]
         self.scores = np.array([s for _, _, s in normal], np.float64)[order]
+        # where the keys of each leading bit pattern begin; so many patterns that few keys share one
+        self.slots = np.searchsorted(self.keys >> np.uint64(64 - SLOT_BITS), np.arange((1 << SLOT_BITS) + 1)).astype(np.int32)
+        self.probes = int(np.diff(self.slots).max())
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each hash among the keys, and whether it is there."""
+        at = self.slots[hashes >> np.uint64(64 - SLOT_BITS)]
+        at = np.minimum(at, len(self.keys) - 1)
+        hit = self.keys[at] == hashes
+        for k in range(1, self.probes):
+            then = np.minimum(at + k, len(self.keys) - 1)
+            more = ~hit & (self.keys[then] == hashes)
+            at, hit = np.where(more, then, at), hit | more
+        return at, hit
 
     def lattice(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids (-1: none) and scores of the substrings of equally long segments, by segment, start, length."""
@@ -72,9 +88,7 @@ class Vocabulary:
         ids = np.full((w, n, top + 1), -1, np.int32)
         scores = np.full((w, n, top + 1), -np.inf)
         for size in range(1, top + 1):
-            h = substrings(chars, size)
-            at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-            hit = self.keys[at] == h
+            at, hit = self.find(substrings(chars, size))
             ids[:, : n - size + 1, size] = np.where(hit, self.ids[at], -1)
             scores[:, : n - size + 1, size] = np.where(hit, self.scores[at], -np.inf)
         return ids, scores
@@ -95,12 +109,13 @@ class Vocabulary:
                 size = ends[row, start] - start
                 piece = ids[row, start, size]
                 cuts = np.searchsorted(row, np.arange(len(part) + 1))
-                for j, k in enumerate(part):
-                    own = piece[cuts[j] : cuts[j + 1]]
-                    if (own < 0).any():
-                        starts = start[cuts[j] : cuts[j + 1]]
-                        own = [i for p, c in zip(own, starts, strict=True) for i in ([p] if p >= 0 else [self.byte_ids[b] for b in segments[k][c].encode("utf-8", "surrogatepass")])]
-                    out[k] = np.asarray(own, "<i4").tobytes()
+                packed, ends4 = piece.astype("<i4").tobytes(), (cuts * 4).tolist()
+                for k, i, j in zip(part, ends4, ends4[1:], strict=False):
+                    out[k] = packed[i:j]
+                for j in np.unique(row[piece < 0]).tolist():
+                    k, own = part[j], slice(cuts[j], cuts[j + 1])
+                    bytewise = [i for p, c in zip(piece[own], start[own], strict=True) for i in ([p] if p >= 0 else [self.byte_ids[b] for b in segments[k][c].encode("utf-8", "surrogatepass")])]
+                    out[k] = np.asarray(bytewise, "<i4").tobytes()
         return out
 
     def decode(self, ids: list[int]) -> str:
