@@ -87,7 +87,13 @@ def local_majority(cells: DataFrame) -> DataFrame:
     return best.join(cells.select("x", "y"), ["x", "y"], "left_semi")
 
 
-def morphology(cells: DataFrame, dilate: bool) -> DataFrame:
-    """Dilation or erosion of `v` (0/1) by the eight neighbours and the cell itself, inside the grid."""
-    n = neighbours(cells, (*EIGHT, (0, 0)))
-    return n.groupBy("x", "y").agg((F.max("n_v") if dilate else F.min("n_v")).alias("v"))
+def morphology(cells: DataFrame, dilate: bool, radius: int = 1) -> DataFrame:
+    """Dilation or erosion of `v` (0/1) by the square of this radius around each cell, inside the grid.
+
+    Along x, then along y; the places off the grid that the first pass fills take part in the second.
+    """
+    out = cells.select("x", "y", "v")
+    for axis in ("x", "y"):
+        moved = out.withColumn("d", F.explode(F.sequence(F.lit(-radius), F.lit(radius)))).withColumn(axis, F.col(axis) + F.col("d"))
+        out = moved.groupBy("x", "y").agg((F.max("v") if dilate else F.min("v")).alias("v"))
+    return out.join(cells.select("x", "y"), ["x", "y"], "left_semi")

@@ -158,11 +158,11 @@ def mosaic_by_date(t: Tables) -> DataFrame:
     return t.obs.groupBy((F.col("pixel") % 10).alias("cell"), "band", "date").agg(F.round(F.min_by(F.when(clear, F.col("value")), F.when(clear, F.col("pixel"))), 6).alias("value"))
 
 
-@query("pf16_border_mask", "SELECT a.x, a.y, max(e.v) AS v FROM grid a JOIN e ON e.x BETWEEN a.x - 1 AND a.x + 1 AND e.y BETWEEN a.y - 1 AND a.y + 1 GROUP BY 1, 2",
-       "e AS (SELECT a.x, a.y, min(CASE WHEN b.conf < 0.8 THEN 1 ELSE 0 END) AS v FROM grid a JOIN grid b ON b.x BETWEEN a.x - 1 AND a.x + 1 AND b.y BETWEEN a.y - 1 AND a.y + 1 GROUP BY 1, 2)")
+@query("pf16_border_mask", "SELECT a.x, a.y, max(e.v) AS v FROM grid a JOIN e ON e.x BETWEEN a.x - 5 AND a.x + 5 AND e.y BETWEEN a.y - 5 AND a.y + 5 GROUP BY 1, 2",
+       "e AS (SELECT a.x, a.y, min(CASE WHEN b.conf < 1 THEN 1 ELSE 0 END) AS v FROM grid a JOIN grid b ON b.x BETWEEN a.x - 5 AND a.x + 5 AND b.y BETWEEN a.y - 5 AND a.y + 5 GROUP BY 1, 2)")
 def border_mask(t: Tables) -> DataFrame:
-    low = t.grid.select("x", "y", (F.col("conf") < 0.8).cast("int").alias("v"))
-    return patches.morphology(patches.morphology(low, dilate=False), dilate=True)
+    low = t.grid.select("x", "y", (F.col("conf") < 1).cast("int").alias("v"))
+    return patches.morphology(patches.morphology(low, dilate=False, radius=5), dilate=True, radius=5)
 
 
 @query("pf19_multitemporal_filter", "SELECT pixel, band, date, round(near * avg(value / near) OVER (PARTITION BY pixel, band), 6) AS value FROM l WHERE near <> 0",
