@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landseries.llm import embedding_dedup, langid, line_dedup, packing, quality, sentencepiece_lattice, simhash, substring_dedup, suffix_tree, webp
+from landseries.llm import embedding_dedup, langid, line_dedup, packing, periodic_runs, quality, sentencepiece_lattice, simhash, substring_dedup, suffix_tree, webp
 from landseries.llm.common import long_texts, staged
 
 
@@ -59,10 +59,15 @@ def op10_webp_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return webp.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_best_fit_packing, op2_quality_gam, op3_substring_dedup, op4_language_id, op5_embedding_near_dedup,
         op6_sentencepiece, op7_suffix_tree_lm, op8_line_dedup, op9_simhash_ball, op10_webp_media,
+        op11_periodic_runs,
     )
     return {f.__name__: f for f in found}
 
