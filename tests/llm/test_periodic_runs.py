@@ -82,7 +82,7 @@ def test_long_periods():
 def test_query_rows(spark):
     ids = [d for d in range(400) if zlib.crc32(str(d).encode()) % 10 == 0][:6]
     text = " ".join(f"w{k}" for k in range(57))
-    rows = [(d, f"{text} {d}", "v") for d in ids] + [(ids[0], f"{text} {ids[0]}", "v"), (None, "a " * 9, "v"), (5, None, "v"), (6, "", "v"), (7, "x y\x1cz " * 6, "v")]
+    rows = [(d, f"{text} {d}", "v") for d in ids] + [(ids[0], f"{text} {ids[0]}", "v"), (None, "a " * 9, "v"), (501, None, "v"), (502, "", "v"), (503, "x y\x1cz " * 6, "v")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_runs string")
     got = pr.periodic_runs(docs, words_at_once=100).collect()
     assert len(got) == len(rows)
