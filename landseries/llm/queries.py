@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landseries.llm import embedding_dedup, importance, langid, line_dedup, packing, periodic_runs, quality, sentencepiece_lattice, simhash, substring_dedup, suffix_tree, webp
+from landseries.llm import embedding_dedup, importance, langid, line_dedup, nearest, packing, periodic_runs, quality, sentencepiece_lattice, simhash, substring_dedup, suffix_tree, webp
 from landseries.llm.common import long_texts, staged
 
 
@@ -63,6 +63,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"))
 
 
+def op12_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -71,7 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_best_fit_packing, op2_quality_gam, op3_substring_dedup, op4_language_id, op5_embedding_near_dedup,
         op6_sentencepiece, op7_suffix_tree_lm, op8_line_dedup, op9_simhash_ball, op10_webp_media,
-        op11_periodic_runs, op13_importance_resampling,
+        op11_periodic_runs, op12_multi_index_hashing, op13_importance_resampling,
     )
     return {f.__name__: f for f in found}
 
