@@ -3,7 +3,7 @@
 obs: dated observations of a pixel and band with a validity mask. stack: eight bands at
 eight dates of a pixel. grid: cells with a class label and a confidence. zones: pixels of
 zones with a class and three bands. polygons: rectangles with class, region and tile.
-pred: reference and produced labels of three runs. proba: class probabilities.
+sites: pixels with features, a label, a region and a polygon. pred: reference and produced labels of three runs. proba: class probabilities.
 """
 
 from __future__ import annotations
@@ -79,6 +79,14 @@ class Tables:
             F.when((v * 7 + s) % 3 == 0, (F.col("label") + 1 + s) % 10).otherwise(F.col("label")).alias("prod"), ((v * 31 + s * 17) % 101 / 100.0).alias("conf"),
         )
 
+    @cached_property
+    def sites(self) -> DataFrame:
+        """Pixels with features, a label, and the region and polygon of the customer of the same number (0 if there is none)."""
+        of = self.customer.join(F.broadcast(self.nation), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_regionkey", "c_nationkey")
+        both = self.embeddings.join(of, F.col("vec_id") == F.col("c_custkey"), "left")
+        place = [F.coalesce(c, F.lit(0)).cast("int").alias(n) for c, n in (("n_regionkey", "region"), ("c_nationkey", "polygon"))]
+        return both.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"), *place)
+
     @cached_property
     def proba(self) -> DataFrame:
         ten = F.transform(F.slice("embedding", 1, 10), lambda v: v.cast("double"))
@@ -105,6 +113,8 @@ SQL = {
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "pred": """SELECT vec_id, vec_id % 4 AS tile, seed, label AS ref, CASE WHEN (vec_id * 7 + seed) % 3 = 0 THEN (label + 1 + seed) % 10 ELSE label END AS prod,
         ((vec_id * 31 + seed * 17) % 101) / 100.0 AS conf FROM embeddings, (SELECT unnest([0, 1, 2]) AS seed)""",
+    "sites": """SELECT vec_id, label, embedding::DOUBLE[] AS x, CAST(coalesce(n_regionkey, 0) AS INTEGER) AS region, CAST(coalesce(c_nationkey, 0) AS INTEGER) AS polygon
+        FROM embeddings LEFT JOIN customer ON c_custkey = vec_id LEFT JOIN nation ON n_nationkey = c_nationkey""",
     "proba": """SELECT vec_id, label, [v / list_sum(e) for v in e] AS proba FROM (
         SELECT vec_id, label, [v - list_min(f) for v in f] AS e FROM (SELECT vec_id, label, embedding[1:10]::DOUBLE[] AS f FROM embeddings))""",
 }
