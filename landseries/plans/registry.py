@@ -28,5 +28,5 @@ def query(name: str, sql: str | None = None, ctes: str = ""):
     return add
 
 
-for part in ("series", "tables", "classes", "samples", "patches", "shapes", "learning"):
+for part in ("series", "tables", "classes", "samples", "patches", "shapes", "learning", "blocks"):
     import_module(f"landseries.plans.{part}")
