@@ -219,8 +219,7 @@ def search(
     classes = staged(classes.select(F.col("ids")[0].alias("rep"), "ids", "x"))
     asked_rows = rows.where(F.col("vec_id") % every == 0)
     asked = staged(asked_rows.groupBy("x").agg(F.min("vec_id").alias("q")))
-    peak = F.array_max(F.transform("x", F.abs))
-    norm = peak * F.sqrt(F.aggregate(F.transform("x", lambda c: (c / peak) * (c / peak)), F.lit(0.0), lambda a, c: a + c))
+    norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, c: a + c * c))
     size = classes.agg(F.count("*").alias("classes"), F.max(F.least(norm, F.lit(float(np.finfo(float).max)))).alias("longest")).first()
     total, n_asked = rows.count(), asked.count()
     by_hash = lambda df, c, n: df.orderBy(F.xxhash64(c), c).limit(n).collect()
