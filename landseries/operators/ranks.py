@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from landseries.sources.store import stored
 
 
-def unused(df: DataFrame, *names: str) -> list[str]:
-    """Column names like these that df doesn't have, in any case."""
-    taken = {c.lower() for c in df.columns}
+def unused(df: DataFrame, *names: str, also: Sequence[str] = ()) -> list[str]:
+    """Column names like these that are neither df's nor among `also`, in any case."""
+    taken = {c.lower() for c in (*df.columns, *also)}
     found = []
     for name in names:
         while name.lower() in taken:
@@ -41,7 +41,8 @@ def ranked(rows: DataFrame, order: Sequence[Column | str], by: Sequence[str] = (
     order should be total: rows equal in group and order share a partition and are numbered
     as they fall. Nulls are a group of their own; columns of any name stay.
     """
-    at, part, place, first, many = unused(rows, "at", "part", "place", "first", "many")
+    results = [rank, *filter(None, [size]), *(sums or {}).values()]
+    at, part, place, first, many = unused(rows, "at", "part", "place", "first", "many", also=results)
     keys = [F.col(b) for b in by] + [F.col(o) if isinstance(o, str) else o for o in order]
     placed = stored(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(at, F.monotonically_increasing_id()))
     placed = placed.withColumn(part, F.shiftright(at, 33)).withColumn(at, F.col(at).bitwiseAND((1 << 33) - 1))
@@ -57,7 +58,7 @@ def ranked(rows: DataFrame, order: Sequence[Column | str], by: Sequence[str] = (
     if size:
         out = out.withColumn(size, F.col(many))
     for column, name in (sums or {}).items():
-        (total,) = unused(out, "total")
+        (total,) = unused(out, "total", also=results)
         inside = Window.partitionBy(*by, part).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
         earlier = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
         totals = placed.groupBy(*by, part).agg(F.sum(column).alias(total))

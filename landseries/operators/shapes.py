@@ -1,4 +1,4 @@
-"""Rectangles x0, y0, w, h as shapes: unit cells, clips, buffers, descriptors and checks."""
+"""Rectangles x0, y0, w, h as shapes: clips, buffers, descriptors and checks."""
 
 from __future__ import annotations
 
@@ -7,18 +7,13 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landseries.operators import spans
 from landseries.operators import tables as tab
 
 
-def unit_cells(rects: DataFrame) -> DataFrame:
-    """rects with (x, y): the unit cells that each rectangle covers; an empty one covers none."""
-    span = lambda a, b: F.sequence(F.col(a), F.col(a) + F.col(b) - 1)
-    return rects.where("w > 0 and h > 0").withColumn("x", F.explode(span("x0", "w"))).withColumn("y", F.explode(span("y0", "h")))
-
-
 def difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """(fid, x, y): the cells of a's rectangles that no rectangle of b covers."""
-    return unit_cells(a).select("fid", "x", "y").join(unit_cells(b).select("x", "y").distinct(), ["x", "y"], "left_anti").select("fid", "x", "y")
+    return spans.cells(spans.minus(spans.rectangle_spans(a), spans.rectangle_spans(b))).select("fid", "x", "y")
 
 
 def clipped(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -32,7 +27,7 @@ def clipped(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def owned_cells(rects: DataFrame) -> DataFrame:
     """(fid, n): cells left to each rectangle when a shared cell goes to the least fid."""
-    owner = unit_cells(rects).groupBy("x", "y").agg(F.min("fid").alias("fid")).groupBy("fid").agg(F.count("*").alias("n"))
+    owner = spans.area(spans.owned(spans.rectangle_spans(rects)), "fid").withColumnRenamed("area", "n")
     return rects.select("fid").join(owner, "fid", "left").select("fid", F.coalesce("n", F.lit(0)).alias("n"))
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from landseries.operators.ranks import ranked
+from landseries.sources.store import stored
 
 def draw_order(key: Column, seed: Column | int = 0) -> Column:
     """A repeatable order of integer keys (under 2**31) that looks random; break ties by the key."""
@@ -21,10 +23,7 @@ def stratified_split(rows: DataFrame, key: str, strata: Sequence[str], ratio: fl
     row goes to both sets.
     """
     drawn = rows.withColumn("seed", F.explode(F.sequence(F.lit(0), F.lit(seeds - 1))))
-    part = Window.partitionBy(*strata, "seed")
-    n = F.count("*").over(part)
-    rank = F.row_number().over(part.orderBy(draw_order(F.col(key), F.col("seed")), key))
-    placed = drawn.withColumns({"_n": n, "_rank": rank})
+    placed = ranked(drawn, [draw_order(F.col(key), F.col("seed")), key], [*strata, "seed"], rank="_rank", size="_n")
     sets = F.when(F.col("_n") == 1, F.array(F.lit("learning"), F.lit("validation"))).otherwise(
         F.array(F.when(F.col("_rank") <= F.greatest(F.lit(1), F.bround(F.col("_n") * ratio)), "learning").otherwise("validation"))
     )
@@ -33,8 +32,8 @@ def stratified_split(rows: DataFrame, key: str, strata: Sequence[str], ratio: fl
 
 def folds(rows: DataFrame, key: str, strata: Sequence[str], k: int, order: Column) -> DataFrame:
     """rows with `fold` 0..k-1: blocks of k in this order are dealt out, in each stratum."""
-    rank = F.row_number().over(Window.partitionBy(*strata).orderBy(order, key)) - 1
-    return rows.withColumn("fold", rank % k)
+    placed = ranked(rows, [order, key], strata, rank="fold")
+    return placed.withColumn("fold", ((F.col("fold") - 1) % k).cast("int"))
 
 
 def first_k(rows: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
@@ -113,10 +112,9 @@ def to_add(counts: DataFrame, mode: str, least: int | None = None, wanted: DataF
 
 def replicate(samples: DataFrame, add: DataFrame, key: str) -> DataFrame:
     """The copies that replication adds: each class's samples in turn until `add` are made."""
-    part = Window.partitionBy("class")
-    ranked = samples.withColumns({"_n": F.count("*").over(part), "_rank": F.row_number().over(part.orderBy(key)) - 1}).join(F.broadcast(add), "class")
-    times = F.floor(F.col("add") / F.col("_n")) + (F.col("_rank") < F.col("add") % F.col("_n")).cast("long")
-    return ranked.where(times > 0).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), times))).drop("_n", "_rank", "add")
+    placed = ranked(samples, [key], ["class"], rank="_rank", size="_n").join(F.broadcast(add), "class")
+    times = F.floor(F.col("add") / F.col("_n")) + (F.col("_rank") - 1 < F.col("add") % F.col("_n")).cast("long")
+    return placed.where(times > 0).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), times))).drop("_n", "_rank", "add")
 
 
 def copy_by_rules(samples: DataFrame, rules: Sequence[tuple[int, int, int, int]], key: str) -> DataFrame:
@@ -125,13 +123,22 @@ def copy_by_rules(samples: DataFrame, rules: Sequence[tuple[int, int, int, int]]
     rules: (source model, target model, class, number; -1 is all), in order: later rules see
     the copies of earlier ones. A rule takes the least keys, and all there are if those are
     too few. path is empty for a sample itself; a copy's names the rules (from 1) that made
-    it, so key and path are its fresh identity and nothing is numbered in one task.
+    it, so key and path are its fresh identity and nothing is numbered in one task. A rule's
+    copies are stored, so each rule reads the samples once.
     """
-    out = samples.withColumn("path", F.lit(""))
+    whole = samples.withColumn("path", F.lit(""))
+    copies = []
     for k, (source, target, kind, number) in enumerate(rules, 1):
-        taken = out.where((F.col("model") == source) & (F.col("class") == kind))
+        of = (F.col("model") == source) & (F.col("class") == kind)
+        taken = whole.where(of)
+        for m, c, made in copies:
+            if (m, c) == (source, kind):
+                taken = taken.unionByName(made)
         if number >= 0:
             taken = taken.orderBy(key, "path").limit(number)
         made = taken.withColumns({"model": F.lit(target).cast(samples.schema["model"].dataType), "path": F.concat("path", F.lit(f"/{k}"))})
+        copies.append((target, kind, stored(made)))
+    out = whole
+    for _, _, made in copies:
         out = out.unionByName(made)
     return out

@@ -68,7 +68,7 @@ def slope(days: np.ndarray, values: np.ndarray) -> float:
     return float((d * values).sum() / (d * d).sum()) if (d * d).sum() else 0.0
 
 
-@query("u4_user_aggregates", """SELECT pixel, band, round(sum(greatest(coalesce(value - before, 0), 0)), 4) AS growth, round(coalesce(regr_slope(value, day), 0) + 1e-7, 3) AS slope FROM (
+@query("u4_user_aggregates", """SELECT pixel, band, round(sum(greatest(coalesce(value - before, 0), 0)), 4) AS growth, round(CASE WHEN min(day) < max(day) THEN regr_slope(value, day) ELSE 0 END + 1e-7, 3) AS slope FROM (
   SELECT pixel, band, value, date - DATE '1970-01-01' AS day, lag(value) OVER (PARTITION BY pixel, band ORDER BY date) AS before FROM obs WHERE mask = 0) GROUP BY 1, 2
   UNION ALL SELECT pixel, band, NULL, NULL FROM obs GROUP BY 1, 2 HAVING min(mask) = 1""")
 def user_aggregates(t: Tables) -> DataFrame:

@@ -20,7 +20,10 @@ def query(name: str, sql: str | None = None, ctes: str = ""):
     def add(f: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         QUERIES[name] = lambda spark, folder: f(Tables(spark, folder))
         if sql:
-            used = [f"{v} AS ({text})" for v, text in SQL.items() if re.search(rf"\b{v}\b", f"{sql} {ctes}")]
+            seen = f"{sql} {ctes}"
+            for v in reversed(SQL):  # a view reads views before it
+                seen += f" {SQL[v]}" if re.search(rf"\b{v}\b", seen) else ""
+            used = [f"{v} AS ({text})" for v, text in SQL.items() if re.search(rf"\b{v}\b", seen)]
             parts = [*used, ctes] if ctes else used
             ORACLES[name] = (f"WITH RECURSIVE {', '.join(parts)} " if parts else "") + sql
         return f
@@ -28,5 +31,5 @@ def query(name: str, sql: str | None = None, ctes: str = ""):
     return add
 
 
-for part in ("series", "tables", "classes", "samples", "patches", "shapes", "learning", "blocks"):
+for part in ("series", "tables", "classes", "samples", "patches", "shapes", "learning", "blocks", "spans"):
     import_module(f"landseries.plans.{part}")

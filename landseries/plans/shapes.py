@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landseries.operators import patches
+from landseries.operators import patches, spans
 from landseries.operators import shapes as op
 from landseries.operators import tables as tab
+from landseries.operators.ranks import ranked
 from landseries.plans.registry import query
 from landseries.sources.views import Tables
 
@@ -66,7 +67,7 @@ def tile_footprint(t: Tables) -> DataFrame:
 
 @query("ag11_dissolved", "SELECT DISTINCT code, x, y FROM cells", CELLS)
 def dissolved(t: Tables) -> DataFrame:
-    return op.unit_cells(t.polygons).select("code", "x", "y").distinct()
+    return spans.cells(spans.joined(spans.rectangle_spans(t.polygons, ("code",)), "code")).select("code", "x", "y")
 
 
 @query("sp3_folds_by_class_and_region", "SELECT fid, CAST((row_number() OVER (PARTITION BY code, region ORDER BY area DESC, fid) - 1) % 5 AS INTEGER) AS fold FROM polygons")
@@ -94,9 +95,8 @@ def descriptors(t: Tables) -> DataFrame:
 @query("vt4_exploded_parts", "SELECT code, tile, fid, row_number() OVER (PARTITION BY code, tile ORDER BY fid) AS part, count(*) OVER (PARTITION BY code, tile) > 1 AS multiple FROM polygons")
 def exploded_parts(t: Tables) -> DataFrame:
     """A multipolygon per class and tile, its parts in the order of fid."""
-    many = t.polygons.groupBy("code", "tile").agg(F.array_sort(F.collect_list("fid")).alias("parts"))
-    parts = many.select("code", "tile", (F.size("parts") > 1).alias("multiple"), F.posexplode("parts").alias("part", "fid"))
-    return parts.withColumn("part", (F.col("part") + 1).cast("long"))
+    parts = ranked(t.polygons.select("code", "tile", "fid"), ["fid"], ["code", "tile"], rank="part", size="n")
+    return parts.select("code", "tile", "fid", "part", (F.col("n") > 1).alias("multiple"))
 
 
 PROBLEM = "CASE WHEN fid % 7 = 0 THEN 'empty' WHEN fid % 11 = 0 THEN 'open' WHEN fid % 13 = 0 THEN 'flat' END"
@@ -141,8 +141,8 @@ def regions_by_tiles(t: Tables) -> DataFrame:
 
 @query("ms6_mosaic_in_shapes", "SELECT DISTINCT x, y, label FROM grid JOIN squares ON kind = 3 AND x BETWEEN zx AND zx + 19 AND y BETWEEN zy AND zy + 19", SQUARES)
 def mosaic_in_shapes(t: Tables) -> DataFrame:
-    inside = op.unit_cells(squares(t).where("kind = 3")).select("x", "y")
-    return t.grid.join(inside, ["x", "y"], "left_semi").select("x", "y", "label")
+    zones = spans.rectangle_spans(squares(t).where("kind = 3").withColumnRenamed("zone", "fid"))
+    return spans.at_points(t.grid, zones).select("x", "y", "label").distinct()
 
 
 @query("ms9_grid_refit", "SELECT x // 40 AS in_x, y // 40 AS in_y, x // 25 AS out_x, y // 25 AS out_y, count(*) AS cells FROM grid GROUP BY 1, 2, 3, 4")

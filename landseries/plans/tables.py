@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from landseries.operators import tables as op
+from landseries.operators.ranks import ranked
 from landseries.plans.registry import query
 from landseries.sources.views import Tables
 
@@ -24,7 +25,7 @@ def by_partition(t: Tables) -> DataFrame:
 def fields(t: Tables) -> DataFrame:
     """Keep, rename, add a constant, number the rest anew (the numbering is by a global order)."""
     kept = t.polygons.where("region = 2").select(F.col("fid").alias("ident"), "code", F.lit("x").alias("origin"))
-    return kept.withColumn("fresh", (F.row_number().over(Window.orderBy("ident")) - 1).cast("long"))
+    return ranked(kept, ["ident"], rank="fresh").withColumn("fresh", F.col("fresh") - 1)
 
 
 @query("pf22_ids_in_list", "SELECT fid, code FROM polygons WHERE fid NOT IN (SELECT s_suppkey FROM supplier)")
@@ -217,7 +218,7 @@ def pivoted(t: Tables) -> DataFrame:
 
 @query("wn1_numbering", "SELECT fid, row_number() OVER (PARTITION BY region ORDER BY fid) AS id FROM polygons")
 def numbering(t: Tables) -> DataFrame:
-    return t.polygons.select("fid", F.row_number().over(Window.partitionBy("region").orderBy("fid")).cast("long").alias("id"))
+    return ranked(t.polygons.select("fid", "region"), ["fid"], ["region"], rank="id").select("fid", "id")
 
 
 @query("wn2_area_folds", "SELECT fid, CAST((row_number() OVER (PARTITION BY code ORDER BY area DESC, fid) - 1) % 5 AS INTEGER) AS fold FROM polygons")
@@ -247,8 +248,8 @@ def biggest(t: Tables) -> DataFrame:
 
 @query("wn7_draw_to_area", f"SELECT fid, code FROM (SELECT fid, code, sum(area) OVER (PARTITION BY code ORDER BY {HASH.format(0)}, fid ROWS UNBOUNDED PRECEDING) - area AS before FROM polygons) WHERE before < 50000")
 def draw_to_area(t: Tables) -> DataFrame:
-    w = Window.partitionBy("code").orderBy(op.draw_order(F.col("fid")), "fid").rowsBetween(Window.unboundedPreceding, 0)
-    return t.polygons.withColumn("before", F.sum("area").over(w) - F.col("area")).where("before < 50000").select("fid", "code")
+    drawn = ranked(t.polygons, [op.draw_order(F.col("fid")), "fid"], ["code"], sums={"area": "before"})
+    return drawn.where("before < 50000").select("fid", "code")
 
 
 @query("st1_append", "SELECT fid, code FROM polygons WHERE tile = 1 UNION ALL SELECT fid, code FROM polygons WHERE tile IN (1, 2)")
@@ -308,15 +309,17 @@ def region_folds(t: Tables) -> DataFrame:
 
 @query("sp9_split_models", f"SELECT fid, region || 'f' || ntile(3) OVER (PARTITION BY region, code ORDER BY {HASH.format(0)}, fid) AS model FROM polygons")
 def split_models(t: Tables) -> DataFrame:
-    fold = F.ntile(3).over(Window.partitionBy("region", "code").orderBy(op.draw_order(F.col("fid")), "fid"))
-    return t.polygons.select("fid", F.concat_ws("f", "region", fold).alias("model"))
+    placed = ranked(t.polygons, [op.draw_order(F.col("fid")), "fid"], ["region", "code"], size="n")
+    least, more = F.floor(F.col("n") / 3), F.col("n") % 3  # the first folds have one row more
+    wide = more * (least + 1)
+    fold = F.when(F.col("rank") <= wide, F.ceil(F.col("rank") / (least + 1))).otherwise(more + F.ceil((F.col("rank") - wide) / F.greatest(least, F.lit(1))))
+    return placed.select("fid", F.concat_ws("f", "region", fold).alias("model"))
 
 
 @query("sp10_periodic_selection", "SELECT fid, code FROM (SELECT fid, code, row_number() OVER (PARTITION BY code ORDER BY fid) AS k, count(*) OVER (PARTITION BY code) AS n FROM polygons) WHERE (k - 1) % greatest(1, n // 25) = 0")
 def periodic(t: Tables) -> DataFrame:
-    w = Window.partitionBy("code")
-    ranked = t.polygons.withColumns({"k": F.row_number().over(w.orderBy("fid")), "n": F.count("*").over(w)})
-    return ranked.where((F.col("k") - 1) % F.greatest(F.lit(1), F.floor(F.col("n") / 25)) == 0).select("fid", "code")
+    placed = ranked(t.polygons, ["fid"], ["code"], rank="k", size="n")
+    return placed.where((F.col("k") - 1) % F.greatest(F.lit(1), F.floor(F.col("n") / 25)) == 0).select("fid", "code")
 
 
 @query("sp12_flags", "SELECT fid, CASE WHEN seed = 1 THEN set ELSE 'XXXX' END AS flag, seed FROM split_rows", SPLIT)
@@ -327,9 +330,8 @@ def flags(t: Tables) -> DataFrame:
 
 @query("sp13_percent_of_class", f"SELECT fid, code FROM (SELECT fid, code, row_number() OVER (PARTITION BY code ORDER BY {HASH.format(0)}, fid) AS k, count(*) OVER (PARTITION BY code) AS n FROM polygons) WHERE k <= floor(n * 0.1)")
 def percent(t: Tables) -> DataFrame:
-    w = Window.partitionBy("code")
-    ranked = t.polygons.withColumns({"k": F.row_number().over(w.orderBy(op.draw_order(F.col("fid")), "fid")), "n": F.count("*").over(w)})
-    return ranked.where(F.col("k") <= F.floor(F.col("n") * 0.1)).select("fid", "code")
+    placed = ranked(t.polygons, [op.draw_order(F.col("fid")), "fid"], ["code"], rank="k", size="n")
+    return placed.where(F.col("k") <= F.floor(F.col("n") * 0.1)).select("fid", "code")
 
 
 def counts(t: Tables) -> DataFrame:

@@ -2,7 +2,8 @@
 
 obs: dated observations of a pixel and band with a validity mask. stack: eight bands at
 eight dates of a pixel. grid: cells with a class label and a confidence. zones: pixels of
-zones with a class and three bands. polygons: rectangles with class, region and tile.
+zones with a class and three bands. polygons: rectangles with class, region and tile. shapes: polygons
+with holes, corners, slants and parts.
 sites: pixels with features, a label, a region and a polygon. pred: reference and produced labels of three runs. proba: class probabilities.
 """
 
@@ -71,6 +72,25 @@ class Tables:
             (1 + F.abs("c_acctbal")).alias("area"), (key % 97).alias("x0"), (key % 89).alias("y0"), (1 + key % 5).alias("w"), (1 + key % 3).alias("h"),
         )
 
+    @cached_property
+    def shapes(self) -> DataFrame:
+        """Polygons four times as large and of four forms: with a hole, an L, a triangle, two parts."""
+        p = self.polygons
+        x, y, w, h = (F.col(c) * 4 for c in ("x0", "y0", "w", "h"))
+        point = lambda a, b: F.struct(a.cast("double").alias("x"), b.cast("double").alias("y"))
+        box = lambda a, b, c, d: F.array(point(a, b), point(c, b), point(c, d), point(a, d))
+        half_w, half_h = w / 2, h / 2
+        ell = F.array(point(x, y), point(x + w, y), point(x + w, y + half_h), point(x + half_w, y + half_h), point(x + half_w, y + h), point(x, y + h))
+        forms = {
+            0: F.array(box(x, y, x + w, y + h), F.reverse(box(x + 1, y + 1, x + w - 1, y + h - 1))),
+            1: F.array(ell),
+            2: F.array(F.array(point(x, y), point(x + w, y), point(x, y + h))),
+            3: F.array(box(x, y, x + half_w, y + half_h), box(x + half_w, y + half_h, x + w, y + h)),
+        }
+        form = F.col("fid") % 4
+        rings = F.when(form == 0, forms[0]).when(form == 1, forms[1]).when(form == 2, forms[2]).otherwise(forms[3])
+        return p.select("fid", "code", "region", "tile", rings.alias("rings"))
+
     @cached_property
     def pred(self) -> DataFrame:
         v, s = F.col("vec_id"), F.col("seed")
@@ -111,6 +131,12 @@ SQL = {
     "polygons": """SELECT c_custkey AS fid, CAST(list_position(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'], c_mktsegment) AS INTEGER) AS code,
         n_regionkey AS region, c_nationkey AS tile, 1 + abs(c_acctbal) AS area, c_custkey % 97 AS x0, c_custkey % 89 AS y0, 1 + c_custkey % 5 AS w, 1 + c_custkey % 3 AS h
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+    "shapes": """SELECT fid, code, region, tile, CASE fid % 4
+        WHEN 0 THEN [[[x, y], [x + w, y], [x + w, y + h], [x, y + h]], [[x + 1, y + h - 1], [x + w - 1, y + h - 1], [x + w - 1, y + 1], [x + 1, y + 1]]]
+        WHEN 1 THEN [[[x, y], [x + w, y], [x + w, y + h / 2], [x + w / 2, y + h / 2], [x + w / 2, y + h], [x, y + h]]]
+        WHEN 2 THEN [[[x, y], [x + w, y], [x, y + h]]]
+        ELSE [[[x, y], [x + w / 2, y], [x + w / 2, y + h / 2], [x, y + h / 2]], [[x + w / 2, y + h / 2], [x + w, y + h / 2], [x + w, y + h], [x + w / 2, y + h]]] END AS rings
+        FROM (SELECT fid, code, region, tile, 4.0::DOUBLE * x0 AS x, 4.0::DOUBLE * y0 AS y, 4.0::DOUBLE * w AS w, 4.0::DOUBLE * h AS h FROM polygons)""",
     "pred": """SELECT vec_id, vec_id % 4 AS tile, seed, label AS ref, CASE WHEN (vec_id * 7 + seed) % 3 = 0 THEN (label + 1 + seed) % 10 ELSE label END AS prod,
         ((vec_id * 31 + seed * 17) % 101) / 100.0 AS conf FROM embeddings, (SELECT unnest([0, 1, 2]) AS seed)""",
     "sites": """SELECT vec_id, label, embedding::DOUBLE[] AS x, CAST(coalesce(n_regionkey, 0) AS INTEGER) AS region, CAST(coalesce(c_nationkey, 0) AS INTEGER) AS polygon
