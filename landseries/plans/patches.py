@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landseries.operators import outlines
 from landseries.operators import patches as op
 from landseries.plans.registry import query
+from landseries.sources.store import stored
 from landseries.sources.views import Tables
 
 
@@ -18,12 +20,32 @@ def patches(t: Tables) -> DataFrame:
     return op.patches(t.blocky)
 
 
-@query("rg1_patch_sizes")
+FOUR = """reach(x, y, tx, ty) AS (SELECT x, y, x, y FROM blocky UNION SELECT r.x, r.y, c.x, c.y FROM reach r JOIN blocky s ON s.x = r.tx AND s.y = r.ty
+  JOIN blocky c ON c.label = s.label AND abs(c.x - s.x) + abs(c.y - s.y) = 1 AND c.x BETWEEN s.x - 1 AND s.x + 1),
+patch AS (SELECT x, y, label, m AS patch FROM (SELECT x, y, label, min(fy * 2147483648 + fx) AS m FROM (
+  SELECT b.x, b.y, b.label, r.x AS fx, r.y AS fy FROM reach r JOIN blocky b ON b.x = r.tx AND b.y = r.ty) GROUP BY 1, 2, 3))"""
+
+
+@query("rg1_patch_sizes", "SELECT patch, label, count(*) AS n FROM patch GROUP BY 1, 2", FOUR)
 def patch_sizes(t: Tables) -> DataFrame:
     return op.patches(t.blocky, eight=False).groupBy("patch", "label").agg(F.count("*").alias("n"))
 
 
-@query("rg2_sieve")
+def sieved(source: str, name: str, near: str, least: int) -> str:
+    """SQL of one sieve: patches of a table under `least` cells take the label of the largest patch that they touch."""
+    touch = near.format(a="a", b="b")
+    return f"""{name}_reach(x, y, tx, ty) AS (SELECT x, y, x, y FROM {source} UNION SELECT r.x, r.y, b.x, b.y FROM {name}_reach r JOIN {source} a ON a.x = r.tx AND a.y = r.ty JOIN {source} b ON b.label = a.label AND {touch}),
+{name}_patch AS (SELECT b.x, b.y, b.label, min(r.y * 2147483648 + r.x) AS patch FROM {name}_reach r JOIN {source} b ON b.x = r.tx AND b.y = r.ty GROUP BY 1, 2, 3),
+{name}_sized AS (SELECT *, count(*) OVER (PARTITION BY patch) AS size FROM {name}_patch),
+{name}_new AS (SELECT a.patch, arg_max(b.label, (b.size, -b.label)) AS new FROM {name}_sized a JOIN {name}_sized b ON {touch} AND a.patch <> b.patch WHERE a.size < {least} GROUP BY 1),
+{name} AS (SELECT x, y, coalesce(new, label) AS label FROM {name}_patch LEFT JOIN {name}_new USING (patch))"""
+
+
+CORNERS = "b.x BETWEEN a.x - 1 AND a.x + 1 AND b.y BETWEEN a.y - 1 AND a.y + 1"
+CROSS = "abs(a.x - b.x) + abs(a.y - b.y) = 1 AND b.x BETWEEN a.x - 1 AND a.x + 1"
+
+
+@query("rg2_sieve", "SELECT x, y, label FROM twice", f"{sieved('blocky', 'once', CORNERS, 4)}, {sieved('once', 'twice', CROSS, 4)}")
 def sieve(t: Tables) -> DataFrame:
     return op.sieve_once(op.sieve_once(t.blocky, 4, True), 4, False)
 
@@ -56,3 +78,27 @@ def boundary(t: Tables) -> DataFrame:
 def focal_mean(t: Tables) -> DataFrame:
     n = op.neighbours(t.grid.select("x", "y", "conf"), (*op.EIGHT, (0, 0)))
     return n.groupBy("x", "y").agg(F.round(F.avg("n_conf"), 6).alias("mean"))
+
+
+OUTLINE = """inner_sides AS (SELECT a.patch, count(*) AS n FROM patch a JOIN patch b ON a.patch = b.patch AND abs(a.x - b.x) + abs(a.y - b.y) = 1 AND b.x BETWEEN a.x - 1 AND a.x + 1 GROUP BY 1),
+sized AS (SELECT patch, count(*) AS n FROM patch GROUP BY 1)"""
+
+
+@query("vt10_rings", "SELECT patch, CAST(sized.n AS DOUBLE) AS area, CAST(4 * sized.n - coalesce(inner_sides.n, 0) AS BIGINT) AS perimeter FROM sized LEFT JOIN inner_sides USING (patch)", f"{FOUR}, {OUTLINE}")
+def rings(t: Tables) -> DataFrame:
+    """Area and perimeter of each patch from the corners of its rings."""
+    corners = outlines.rings(op.patches(t.blocky, eight=False)).transform(stored)
+    area = outlines.ring_sizes(corners).groupBy("patch").agg(F.sum("area").alias("area"))
+    return area.join(outlines.ring_lengths(corners).groupBy("patch").agg(F.sum("length").alias("perimeter")), "patch")
+
+
+@query("vt10_arcs", "SELECT patch, CAST(count(*) AS DOUBLE) AS area FROM patch GROUP BY 1", FOUR)
+def arcs(t: Tables) -> DataFrame:
+    """Area of each patch from the borders that it shares with others, each of which is kept once."""
+    return outlines.patch_areas(outlines.arcs(op.patches(t.blocky, eight=False)))
+
+
+@query("vt6_simplified")
+def simplified(t: Tables) -> DataFrame:
+    """Area of each patch after its borders are simplified by a tolerance of one cell."""
+    return outlines.patch_areas(outlines.simplified(outlines.arcs(op.patches(t.blocky, eight=False)), 1.0))
