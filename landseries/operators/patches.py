@@ -2,49 +2,70 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landseries.operators.components import components
 from landseries.sources.store import stored
 
 FOUR = ((0, -1), (-1, 0), (1, 0), (0, 1))
 EIGHT = (*FOUR, (-1, -1), (1, -1), (-1, 1), (1, 1))
 
 
-def row_runs(cells: DataFrame) -> DataFrame:
-    """(y, x0, x1, label, run): stretches of equal label along a row; run numbers them by place."""
-    same = F.lag(F.struct("x", "label")).over(Window.partitionBy("y").orderBy("x"))
-    begins = same.isNull() | (same["label"] != F.col("label")) | (same["x"] != F.col("x") - 1)
-    marked = cells.select("x", "y", "label", begins.cast("int").alias("b"))
-    part = F.sum("b").over(Window.partitionBy("y").orderBy("x"))
-    runs = marked.withColumn("part", part).groupBy("y", "part").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.first("label").alias("label"))
-    return runs.select("y", "x0", "x1", "label", (F.col("y") * (1 << 31) + F.col("x0")).alias("run"))
+def least_of_runs(number: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Each cell's least number within its run of equal labels along a row."""
+    flat, same = number.ravel().copy(), np.zeros(label.shape, bool)
+    same[:, 1:] = label[:, 1:] == label[:, :-1]
+    starts = np.nonzero(~same.ravel())[0]
+    return np.repeat(np.minimum.reduceat(flat, starts), np.diff(np.append(starts, flat.size))).reshape(number.shape)
 
 
-def patches(cells: DataFrame, eight: bool = True, most: int = 60) -> DataFrame:
-    """cells (x, y, label) with `patch`: the least run of the connected patch of equal label.
+def settled(label: np.ndarray, number: np.ndarray, eight: bool) -> np.ndarray:
+    """Each cell's least number within its connected patch of equal label in a block."""
+    while True:
+        new = least_of_runs(number, label)
+        new = least_of_runs(new.T, label.T).T.copy()
+        if eight:
+            for one, two in (((slice(1, None),) * 2, (slice(None, -1),) * 2), ((slice(1, None), slice(None, -1)), (slice(None, -1), slice(1, None)))):
+                low = np.where(label[one] == label[two], np.minimum(new[one], new[two]), new[one])
+                new[two] = np.where(label[one] == label[two], np.minimum(new[two], low), new[two])
+                new[one] = np.where(label[one] == label[two], np.minimum(new[one], new[two]), new[one])
+        if (new == number).all():
+            return new
+        number = new
 
-    Nodes are row runs, not cells. Each round takes the least patch among touching runs and
-    then follows patch numbers once more (pointer jumping), until nothing changes.
+
+def patches(cells: DataFrame, eight: bool = True, block: int = 128) -> DataFrame:
+    """cells (x, y, label) with `patch`: the least y * 2**31 + x of the connected patch of equal label.
+
+    Patches are settled inside blocks of cells first. Only contacts across the borders of
+    blocks enter the search for components, so its links grow with the borders. Cells must
+    be unique and labels whole numbers; an empty table stays empty.
     """
-    runs = stored(row_runs(cells))
-    reach = 1 if eight else 0
-    other = runs.select((F.col("y") - 1).alias("y"), F.col("x0").alias("p0"), F.col("x1").alias("p1"), F.col("label"), F.col("run").alias("to"))
-    down = runs.join(other, ["y", "label"]).where((F.col("p0") <= F.col("x1") + reach) & (F.col("p1") >= F.col("x0") - reach)).select("run", "to")
-    edges = stored(down.unionByName(down.select(F.col("to").alias("run"), F.col("run").alias("to"))))
-    now = stored(runs.select("run", F.col("run").alias("patch")))
-    for _ in range(most):
-        near = edges.join(now.select(F.col("run").alias("to"), "patch"), "to").groupBy("run").agg(F.min("patch").alias("low"))
-        step = now.join(near, "run", "left").select("run", "patch", F.least("patch", F.coalesce("low", "patch")).alias("low"))
-        jump = step.select(F.col("run").alias("low"), F.col("low").alias("lower"))
-        new = stored(step.join(jump, "low", "left").select("run", F.col("patch").alias("old"), F.least("low", F.coalesce("lower", "low")).alias("patch")))
-        if not new.where("old != patch").limit(1).count():
-            break
-        now = new.select("run", "patch")
-    else:
-        raise RuntimeError("patches did not settle")
-    named = runs.join(new.select("run", "patch"), "run")
-    return named.withColumn("x", F.explode(F.sequence("x0", "x1"))).select("x", "y", "label", "patch")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, y = pdf["x"].to_numpy(), pdf["y"].to_numpy()
+        at = (y - y.min(), x - x.min())
+        labels, code = np.unique(pdf["label"].to_numpy(), return_inverse=True)
+        label = np.full((at[0].max() + 1, at[1].max() + 1), -1)
+        label[at] = code
+        number = np.full(label.shape, np.iinfo(np.int64).max)
+        number[at] = y * (1 << 31) + x
+        return pd.DataFrame({"x": x, "y": y, "label": pdf["label"], "local": settled(label, number, eight)[at]})
+
+    kind = cells.schema["label"].dataType.simpleString()
+    placed = cells.select(F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), "label", F.floor(F.col("x") / block).alias("bx"), F.floor(F.col("y") / block).alias("by"))
+    local = stored(placed.groupBy("bx", "by").applyInPandas(run, f"x long, y long, label {kind}, local long"))
+    edge = F.pmod("x", F.lit(block)).isin(0, block - 1) | F.pmod("y", F.lit(block)).isin(0, block - 1)
+    border = local.where(edge)
+    steps = ((1, 0), (0, 1), (1, 1), (1, -1)) if eight else ((1, 0), (0, 1))
+    moved = border.withColumn("d", F.explode(F.array(*(F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy")) for a, b in steps))))
+    moved = moved.select((F.col("x") + F.col("d.dx")).alias("x"), (F.col("y") + F.col("d.dy")).alias("y"), "label", F.col("local").alias("other"))
+    touching = border.join(moved, ["x", "y", "label"]).where("local != other").select("local", "other").distinct()
+    low = components(touching)
+    return local.join(low, F.col("local") == F.col("node"), "left").select("x", "y", "label", F.coalesce("component", "local").alias("patch"))
 
 
 def neighbours(cells: DataFrame, offsets: tuple = FOUR) -> DataFrame:
