@@ -7,8 +7,10 @@ on spans cut at tiles of TILE cells, so that a row of any length is many groups.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -155,3 +157,59 @@ def ring_area(rings: Column) -> Column:
         return F.aggregate(terms, F.lit(0.0), lambda s, v: s + v) / 2
 
     return F.aggregate(F.transform(rings, one), F.lit(0.0), lambda s, v: s + v)
+
+
+def hull(points: np.ndarray) -> np.ndarray:
+    """The corners of the convex hull, anticlockwise (monotone chain)."""
+    p = np.unique(points, axis=0)
+    if len(p) < 3:
+        return p
+    sides = []
+    for order in (p, p[::-1]):
+        side: list = []
+        for c in order:
+            while len(side) > 1 and (side[-1][0] - side[-2][0]) * (c[1] - side[-2][1]) - (side[-1][1] - side[-2][1]) * (c[0] - side[-2][0]) <= 0:
+                side.pop()
+            side.append(c)
+        sides += side[:-1]
+    return np.array(sides)
+
+
+def hull_measures(points: np.ndarray) -> tuple[float, float, float]:
+    """Area of the convex hull, and the longer and shorter side of the smallest rectangle around it, which has a side on one of the hull's."""
+    h = hull(points)
+    if len(h) < 3:
+        return 0.0, float(np.hypot(*(h[-1] - h[0]))) if len(h) else 0.0, 0.0
+    nexts = np.roll(h, -1, axis=0)
+    area = float((h[:, 0] * nexts[:, 1] - nexts[:, 0] * h[:, 1]).sum() / 2)
+    way = (nexts - h) / np.hypot(*(nexts - h).T)[:, None]
+    along, across = h @ way.T, h @ np.stack([-way[:, 1], way[:, 0]])
+    sizes = np.stack([np.ptp(along, axis=0), np.ptp(across, axis=0)])
+    best = sizes[:, sizes.prod(axis=0).argmin()]
+    return area, float(best.max()), float(best.min())
+
+
+def descriptors(shapes: DataFrame, key: str = "fid") -> DataFrame:
+    """(key, area, perimeter, convexity, compactness, elongation) of shapes (key, rings).
+
+    convexity: area over that of the convex hull; compactness: 4 pi area over the squared
+    perimeter; elongation: longer over shorter side of the smallest rectangle around. Rings
+    that run the other way are holes. Flat shapes have null instead of a division by zero.
+    """
+    kind = shapes.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for rings in batch["rings"]:
+                parts = [np.array([(p["x"], p["y"]) for p in ring], float).reshape(-1, 2) for ring in (rings if rings is not None else ())]
+                rows.append(hull_measures(np.concatenate(parts)) if any(len(p) for p in parts) else (None,) * 3)
+            out = pd.DataFrame(rows, columns=["hull", "long", "short"], dtype="float64")
+            out.insert(0, key, batch[key].to_numpy())
+            yield out
+
+    measured = shapes.select(key, "rings").mapInPandas(run, f"`{key}` {kind}, hull double, long double, short double")
+    length = edges(shapes, (key,)).groupBy(key).agg(F.sum(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))).alias("perimeter"))
+    sized = shapes.select(key, F.abs(ring_area(F.col("rings"))).alias("area")).join(length, key, "left").join(measured, key, "left")
+    over = lambda a, b: F.when(b > 0, a / b)
+    return sized.select(key, "area", "perimeter", over(F.col("area"), F.col("hull")).alias("convexity"), over(4 * F.pi() * F.col("area"), F.col("perimeter") ** 2).alias("compactness"), over(F.col("long"), F.col("short")).alias("elongation"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landseries.operators import samples
 from landseries.operators import spans as op
+from landseries.operators.ranks import ranked
 from landseries.plans.registry import query
 from landseries.plans.shapes import SQUARES, squares
 from landseries.sources.views import Tables
@@ -138,3 +140,38 @@ def eroded(t: Tables) -> DataFrame:
 def areas(t: Tables) -> DataFrame:
     length = op.edges(t.shapes).groupBy("fid").agg(F.round(F.sum(F.sqrt((F.col("x2") - F.col("x1")) ** 2 + (F.col("y2") - F.col("y1")) ** 2)), 6).alias("perimeter"))
     return t.shapes.select("fid", F.round(F.abs(op.ring_area(F.col("rings"))), 6).alias("area")).join(length, "fid")
+
+
+MEASURES = f"""{SIDES}, boxed AS (SELECT fid, 16.0 * w * h AS box, 4.0 * w AS w, 4.0 * h AS h FROM polygons),
+measured AS (SELECT fid, abs(sum(x1 * y2 - x2 * y1)) / 2 AS area, sum(sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2)) AS perimeter FROM sides GROUP BY 1),
+described AS (SELECT fid, area / (box * CASE fid % 4 WHEN 0 THEN 1 WHEN 1 THEN 0.875 WHEN 2 THEN 0.5 ELSE 0.75 END) AS convexity, 4 * pi() * area / (perimeter * perimeter) AS compactness,
+  CASE WHEN fid % 4 = 0 THEN greatest(w, h) / least(w, h) END AS elongation FROM measured JOIN boxed USING (fid))"""
+
+
+@query("vt2_shape_descriptors", "SELECT fid, round(convexity, 6) AS convexity, round(compactness, 6) AS compactness, round(elongation, 6) AS elongation FROM described", MEASURES)
+def described(t: Tables) -> DataFrame:
+    """Elongation is compared for boxes only, whose smallest rectangle has a closed form."""
+    d = op.descriptors(t.shapes)
+    return d.select("fid", F.round("convexity", 6).alias("convexity"), F.round("compactness", 6).alias("compactness"), F.when(F.col("fid") % 4 == 0, F.round("elongation", 6)).alias("elongation"))
+
+
+@query("vt3_kinds_of_boxes", "SELECT fid, CASE WHEN convexity >= 0.7 AND (compactness < 0.4 OR elongation > 2.5) THEN 'hedge' WHEN convexity >= 0.7 THEN 'other' ELSE 'forest' END AS kind FROM described WHERE fid % 4 = 0", MEASURES)
+def kinds(t: Tables) -> DataFrame:
+    d = op.descriptors(t.shapes.where("fid % 4 = 0"))
+    return d.select("fid", samples.hedge_or_forest(F.col("convexity"), F.col("compactness"), F.col("elongation")).alias("kind"))
+
+
+ZONED = "zoned AS (SELECT code AS zone, fid, area, coalesce(sum(area) OVER (PARTITION BY code ORDER BY fid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(area) OVER (PARTITION BY code) AS total, row_number() OVER (PARTITION BY code ORDER BY fid) AS k FROM polygons)"
+
+
+@query("zs11_chunks_of_equal_area", "SELECT fid, CAST(floor(before * 4 / total) AS BIGINT) AS chunk FROM zoned", ZONED)
+def equal_area(t: Tables) -> DataFrame:
+    """Zones of a layer in four chunks of nearly equal area, by running sums."""
+    total = t.polygons.groupBy("code").agg(F.sum("area").alias("total"))
+    placed = ranked(t.polygons.select("code", "fid", "area"), ["fid"], ["code"], sums={"area": "before"}).join(F.broadcast(total), "code")
+    return placed.select("fid", F.floor(F.col("before") * 4 / F.col("total")).alias("chunk"))
+
+
+@query("zs11_chunks_by_count", "SELECT fid, (k - 1) // 50 AS chunk FROM zoned", ZONED)
+def by_count(t: Tables) -> DataFrame:
+    return ranked(t.polygons.select("code", "fid"), ["fid"], ["code"]).select("fid", F.floor((F.col("rank") - 1) / 50).alias("chunk"))
