@@ -31,5 +31,5 @@ def query(name: str, sql: str | None = None, ctes: str = ""):
     return add
 
 
-for part in ("series", "tables", "classes", "samples", "patches", "shapes", "learning", "blocks", "spans", "superpixels", "features", "assembly"):
+for part in ("series", "tables", "classes", "samples", "patches", "shapes", "learning", "blocks", "spans", "superpixels", "features", "assembly", "regularisation"):
     import_module(f"landseries.plans.{part}")
