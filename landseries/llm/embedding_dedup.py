@@ -74,7 +74,9 @@ def near_duplicates(
     are collapsed first and counted by multiplicity. The rest of a label is dealt by hash
     into tiles of about `tile` vectors; a task compares two tiles and returns link counts
     and a spanning forest, never the pairs. An empty table gives no rows; other columns are
-    ignored; ids are taken as unique. The number of tile products grows with the square of a
+    ignored. Ids should be unique: rows of one id are one node, which has the links of all of
+    them; a row of null id links with nothing but its equals and has null for kept. The
+    number of tile products grows with the square of a
     label's distinct vectors: exactness at any cosine threshold needs it.
     """
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<double>").alias("x"), F.col(label_col).alias("label"))

@@ -328,8 +328,10 @@ def matched_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     white space) have a Jaccard similarity of at least `similarity`. n_links counts a line's
     matches; (first_doc, first_line) is its earliest match or itself, in the order of doc_id
     and line number; removed: there is an earlier one. Lines with equal sets are one class and
-    never paired. Null and empty texts have no lines; rows of a null id are left out; ids are
-    taken as unique; an empty table gives no rows.
+    never paired. Null and empty texts have no lines; rows of a null id are left out; a row
+    that occurs twice gives its lines twice, each linked to its copy, with the same first line
+    (removed only where that is another line); an empty table gives no rows. Words are told
+    apart by 32-bit hashes, sets of them by 64-bit ones.
     """
     docs = docs.where("doc_id is not null")
     classes = bucketed(classes_of(docs), "sig")  # the word sets are never shuffled again

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from landseries.llm.common import known_id, with_null_ids
+from landseries.llm.common import fresh, known_id, with_null_ids
 
 CAPACITY = 2048
 
@@ -200,7 +200,8 @@ def place(rows: DataFrame, capacity: int = CAPACITY, per_bucket: int = 20_000) -
     """rows (doc_id, piece, length, ...) with sequence_id and offset; rows must be a stored table.
 
     Rows of null ids and repeated rows are placed like others, each once; an empty table stays
-    empty; columns that rows has besides stay.
+    empty; columns that rows has besides stay, whatever their names, but for sequence_id and
+    offset, which are set anew.
 
     Only the histogram of lengths (capacity numbers) reaches the driver. An item's rank among
     those of its length is the number in earlier buckets plus its place in its own, so a
@@ -212,14 +213,14 @@ def place(rows: DataFrame, capacity: int = CAPACITY, per_bucket: int = 20_000) -
     counts[histogram["length"].to_numpy(np.int64)] = histogram["count"]
     slots = plan(counts, capacity)
     buckets = max(16, int(counts.sum()) // per_bucket)
-    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
-    before = (
-        dealt.groupBy("length", "bucket").count()
-        .withColumn("before", F.sum("count").over(Window.partitionBy("length").orderBy("bucket")) - F.col("count"))
-        .drop("count")
+    bucket, before, within, rank, place_ = (fresh(rows, c) for c in ("bucket", "before", "within", "rank", "slot"))
+    dealt = rows.withColumn(bucket, F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
+    earlier = (
+        dealt.groupBy("length", bucket).agg(F.count("*").alias(within))
+        .select("length", bucket, (F.sum(within).over(Window.partitionBy("length").orderBy(bucket)) - F.col(within)).alias(before))
     )
-    within = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece")) - 1
-    ranked = dealt.withColumn("within", within).join(before, ["length", "bucket"]).withColumn("rank", F.col("before") + F.col("within"))
+    place_in = F.row_number().over(Window.partitionBy("length", bucket).orderBy("doc_id", "piece")) - 1
+    ranked = dealt.withColumn(within, place_in).join(earlier, ["length", bucket]).withColumn(rank, F.col(before) + F.col(within))
     shared = spark.sparkContext.broadcast(
         (slots["length"].to_numpy(np.int64) * (1 << 42) + slots["first_rank"].to_numpy(np.int64), *(slots[c].to_numpy(np.int64) for c in ("first_rank", "sequence", "offset")))
     )
@@ -230,4 +231,6 @@ def place(rows: DataFrame, capacity: int = CAPACITY, per_bucket: int = 20_000) -
         at = np.searchsorted(key, length.to_numpy(np.int64) * (1 << 42) + rank.to_numpy(np.int64), "right") - 1
         return pd.DataFrame({"sequence_id": sequence[at] + rank.to_numpy() - first[at], "offset": offset[at]})
 
-    return ranked.withColumn("slot", slot("length", "rank")).select(*rows.columns, "slot.sequence_id", "slot.offset")
+    placed = ranked.withColumn(place_, slot("length", rank))
+    kept = [c for c in rows.columns if c not in ("sequence_id", "offset")]
+    return placed.select(*kept, F.col(place_)["sequence_id"].alias("sequence_id"), F.col(place_)["offset"].alias("offset"))

@@ -53,6 +53,18 @@ def test_stages_keep_columns_of_any_name(odd, name):
     assert STAGES[name](odd.where("false")).count() == 0
 
 
+def test_packing_keeps_columns_of_any_name(spark):
+    names = ["bucket", "before", "within", "rank", "slot", "sequence_id"]
+    rows = [(k, 0, 100 + k, k, *("mine",) * len(names)) for k in range(50)]
+    table = spark.createDataFrame(rows, "doc_id long, piece int, length long, ids_crc32 long, " + ", ".join(f"{n} string" for n in names))
+    got = packing.place(table).collect()
+    assert len(got) == 50 and all(r[n] == "mine" for r in got for n in names[:-1])
+    ends = {}
+    for r in got:
+        ends.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert all(sum(n for _, n in sorted(x)[:k]) == o for x in ends.values() for k, (o, _) in enumerate(sorted(x)))
+
+
 def test_equal_rows_in_joins(spark):
     docs = spark.createDataFrame([(1, TEXT * 3), (1, TEXT * 3), (2, TEXT * 3), (2, TEXT * 3), (3, "short")], "doc_id long, text string")
     got = substring_dedup.repeated_passages(docs).collect()
