@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 HEADLINE = (
     "flagship_seasonal_by_segment", "ts5_gap_fill", "fx2_date_features", "jn1_intersection", "zs1_class_rates", "zs4_majority_statistics", "sp2_repeated_splits",
     "fu1_majority_vote", "fu2_dempster_shafer", "va6_class_scores", "va6_global_scores", "rg1_patches", "rg7_local_majority", "ms8_mode_resample",
+    "ml6_classification", "u1_user_features", "jn1_shape_intersection", "jn2_shape_difference", "au4_neighbours", "dr3_correlations", "rg11_superpixels", "sp11_selected_by_model",
 )
 
 
