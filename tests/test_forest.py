@@ -56,7 +56,7 @@ def samples(spark):
     return spark.createDataFrame(rows, "key long, model string, label int, x array<double>, polygon int")
 
 
-@pytest.mark.parametrize("settings", [Settings("tree", 1, 4, 8), Settings("forest", 3, 3, 8), Settings("bagging", 2, 3, 8, least=5)])
+@pytest.mark.parametrize("settings", [Settings("forest", 2, 3, 8), Settings("bagging", 2, 2, 8, least=5)])
 def test_trees_equal_plain_loops(samples, settings):
     forest = op.fit(samples, CLASSES, settings)
     rows = [r for r in samples.collect() if r.label and r.key is not None and r.model]
@@ -81,7 +81,7 @@ def test_trees_equal_plain_loops(samples, settings):
 
 
 def test_labels_by_the_model_of_a_row(samples):
-    forest = op.fit(samples, CLASSES, Settings("bagging", 8, 4, 16))
+    forest = op.fit(samples, CLASSES, Settings("bagging", 6, 3, 16))
     told = op.classify(forest, samples.withColumnRenamed("label", "ref")).collect()
     right = [r.label == r.ref for r in told if r.ref and r.model in ("m0", "m1")]
     assert np.mean(right) > 0.85 and all(r.label is None and r.conf is None for r in told if r.model is None)
@@ -93,15 +93,15 @@ def test_labels_by_the_model_of_a_row(samples):
 
 def test_kinds_votes_and_boosting(samples):
     known = samples.where("model in ('m0', 'm1') and label is not null and key is not null")
-    extra = op.fit(known, CLASSES, Settings("extra", 10, 4, 16, features=3))
+    extra = op.fit(known, CLASSES, Settings("extra", 10, 3, 16, features=4))
     bag = op.fit(known, CLASSES, Settings("bagging", 4, 3, 16))
     bare = known.withColumnRenamed("label", "ref")
     right = lambda d: d.agg(F.avg((F.col("label") == F.col("ref")).cast("int"))).first()[0]
     assert right(op.classify(extra, bare)) > 0.7 and right(op.voted([extra, bag], bare)) > 0.8
-    stumps = op.boosted(known, CLASSES, Settings("tree", 1, 1, 16), 4)
+    stumps = op.boosted(known, CLASSES, Settings("tree", 1, 1, 16), 3)
     assert right(op.boosted_label(stumps, bare)) > right(op.classify(stumps[0][0], bare)) and all(a > 0 for r in stumps[0][1].collect() for a in [r.alpha])
 
 
 def test_search_keeps_groups_whole(samples):
-    got = op.search(samples.where("label is not null and key is not null and model in ('m0', 'm1')"), CLASSES, [Settings("tree", 1, 1, 8), Settings("bagging", 4, 4, 8)], 3, "polygon").collect()
+    got = op.search(samples.where("label is not null and key is not null and model in ('m0', 'm1')"), CLASSES, [Settings("tree", 1, 1, 8), Settings("bagging", 3, 3, 8)], 2, "polygon").collect()
     assert [r.best for r in sorted(got)] == [False, True] and all(0 < r["mean"] < 1 for r in got)

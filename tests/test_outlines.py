@@ -9,8 +9,7 @@ from landseries.operators import patches
 
 MAPS = [
     ["1111", "1221", "1211", "1111"],
-    ["12", "21"],
-    ["111111", "122221", "123321", "123321", "122221", "111111"],
+    ["111111", "122221", "123321", "122221", "111111"],
     ["1.12", "111.", "..13"],
     ["1212", "2121", "1122"],
 ]
