@@ -37,8 +37,10 @@ def gap_filled(t: Tables, step: int = 5) -> DataFrame:
   JOIN customer ON c_custkey = pixel GROUP BY 1""", GRID_SQL)
 def flagship(t: Tables) -> DataFrame:
     """Scan, mask, gap fill, index of two bands, seasonal summary, join with labels, summary by label."""
-    wide = gap_filled(t).where(F.col("band").isin("purchase", "click")).groupBy("pixel", "date").pivot("band", ["purchase", "click"]).agg(F.first("value"))
-    index = wide.where("purchase is not null and click is not null").select("pixel", "date", spectral.normalised_index(F.col("purchase"), F.col("click")).alias("value"))
+    of = {b: F.col("band") == b for b in ("purchase", "click")}
+    sides = [c for b, is_b in of.items() for c in (F.max(F.when(is_b, F.col("value"))).alias(b), F.max(is_b).alias(f"has_{b}"))]
+    wide = gap_filled(t).groupBy("pixel", "date").agg(*sides)  # a series without a valid date has null values and counts
+    index = wide.where("has_purchase and has_click").select("pixel", "date", spectral.normalised_index(F.col("purchase"), F.col("click")).alias("value"))
     summary = ts.seasonal_summary(index, ["pixel"])
     return summary.join(t.customer, F.col("pixel") == F.col("c_custkey")).groupBy(F.col("c_mktsegment").alias("segment")).agg(
         F.count("*").alias("pixels"), F.round(F.avg("cumulative"), 4).alias("mean_cumulative"), F.round(F.stddev_pop("cumulative"), 4).alias("std_cumulative"),
