@@ -46,10 +46,14 @@ def rectangle_spans(rects: DataFrame, keep: Sequence[str] = ("fid",)) -> DataFra
     return some.select(*keep, F.col("y").cast("long").alias("y"), F.col("x0").cast("long").alias("a"), (F.col("x0") + F.col("w")).cast("long").alias("b"))
 
 
+def dealt(spans: DataFrame) -> DataFrame:
+    """spans, whole, once for each tile `t` that they meet."""
+    return spans.withColumn("t", F.explode(F.sequence(F.floor(F.col("a") / TILE), F.floor((F.col("b") - 1) / TILE))))
+
+
 def tiled(spans: DataFrame) -> DataFrame:
     """spans cut at tiles, with the tile `t`."""
-    cut = spans.withColumn("t", F.explode(F.sequence(F.floor(F.col("a") / TILE), F.floor((F.col("b") - 1) / TILE))))
-    return cut.withColumns({"a": F.greatest(F.col("a"), F.col("t") * TILE), "b": F.least(F.col("b"), (F.col("t") + 1) * TILE)})
+    return dealt(spans).withColumns({"a": F.greatest(F.col("a"), F.col("t") * TILE), "b": F.least(F.col("b"), (F.col("t") + 1) * TILE)})
 
 
 def depths(by: Sequence[str] = (), **layers: DataFrame) -> DataFrame:
@@ -75,10 +79,15 @@ def union(*layers: DataFrame) -> DataFrame:
 
 
 def common(a: DataFrame, b: DataFrame, key: str = "fid") -> DataFrame:
-    """(key, o_key, y, a, b): what spans of a share with spans of b, by an equi-join on row and tile."""
-    other = tiled(b).select("y", "t", F.col(key).alias(f"o_{key}"), F.col("a").alias("o_a"), F.col("b").alias("o_b"))
-    met = tiled(a).join(other, ["y", "t"]).where("a < o_b and o_a < b")
-    return met.select(key, f"o_{key}", "y", F.greatest("a", "o_a").alias("a"), F.least("b", "o_b").alias("b"))
+    """(key, o_key, y, a, b): what each span of a shares with each of b, by an equi-join on row and tile.
+
+    A common part is whole, in the tile where it begins, and comes out once. Where no spans of
+    one key touch within a row, neither do the common parts of a pair.
+    """
+    other = dealt(b).select("y", "t", F.col(key).alias(f"o_{key}"), F.col("a").alias("o_a"), F.col("b").alias("o_b"))
+    begin = F.greatest("a", "o_a")
+    met = dealt(a).join(other, ["y", "t"]).where("a < o_b and o_a < b").where(F.floor(begin / TILE) == F.col("t"))
+    return met.select(key, f"o_{key}", "y", begin.alias("a"), F.least("b", "o_b").alias("b"))
 
 
 def minus(a: DataFrame, b: DataFrame, key: str = "fid") -> DataFrame:

@@ -53,9 +53,8 @@ def union(t: Tables) -> DataFrame:
 @query("jn3_shape_common_spans", """SELECT fid, o_fid, y, min(x) AS a, max(x) + 1 AS b FROM (SELECT a.fid, b.fid AS o_fid, x, y, x - row_number() OVER (PARTITION BY a.fid, b.fid, y ORDER BY x) AS g
   FROM cell a JOIN cell b USING (x, y) WHERE a.code = 3 AND b.code = 4) GROUP BY fid, o_fid, y, g""", COVER)
 def common_spans(t: Tables) -> DataFrame:
-    """The shapes of all intersections: spans, those that touch made one."""
-    pairs = op.common(layer(t, 3), layer(t, 4)).withColumn("pair", F.struct("fid", "o_fid")).drop("fid", "o_fid")
-    return op.joined(pairs, "pair").select("pair.fid", "pair.o_fid", "y", "a", "b")
+    """The shapes of all intersections: spans that don't touch, as those of each layer are made not to."""
+    return op.common(op.joined(layer(t, 3)), op.joined(layer(t, 4)))
 
 
 @query("jn4_shapes_meeting_zones", "SELECT DISTINCT fid, zone FROM cell JOIN zone_cell USING (x, y) WHERE kind = 1", ZONES)

@@ -77,3 +77,10 @@ def test_buffers(shapes, square):
 def test_rows_grow_with_height_not_area(spark):
     wide = spark.createDataFrame([(1, [[(0.0, 0.0), (1e6, 0.0), (1e6, 3.0), (0.0, 3.0)]])], SHAPE)
     assert op.shape_spans(wide).count() == 3 and op.area(op.shape_spans(wide), "fid").first().area == 3_000_000
+
+
+def test_common_spans_are_whole(spark, monkeypatch):
+    monkeypatch.setattr(op, "TILE", 4)
+    a = spark.createDataFrame([(1, 0, -3, 21), (2, 1, 0, 5)], "fid long, y long, a long, b long")
+    b = spark.createDataFrame([(7, 0, -9, 2), (7, 0, 3, 30), (8, 1, 5, 9)], "fid long, y long, a long, b long")
+    assert sorted(map(tuple, op.common(a, b).collect())) == [(1, 7, 0, -3, 2), (1, 7, 0, 3, 21)]
