@@ -2,7 +2,8 @@
 
 A span is (y, a, b): the cells a .. b - 1 of row y. A cell belongs to a shape if its centre
 does by the even-odd rule over all rings, so holes and parts need no order. Operations work
-on spans cut at tiles of TILE cells, so that a row of any length is many groups.
+on spans cut at tiles of TILE cells, so that a row of any length is many groups. Areas that pairs
+of shapes share come from masks: SIDE rows of a word of SIDE bits each.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TILE = 256
+SIDE, COARSE = 64, 32
+PARTS, PAIRS = 8, 1 << 20  # tasks that may share a coarse cell; pairs that numpy looks at together
 
 
 def edges(shapes: DataFrame, keep: Sequence[str] = ("fid",)) -> DataFrame:
@@ -90,6 +93,94 @@ def common(a: DataFrame, b: DataFrame, key: str = "fid") -> DataFrame:
     return met.select(key, f"o_{key}", "y", begin.alias("a"), F.least("b", "o_b").alias("b"))
 
 
+def masks(spans: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """(keep, x0, y0, rows, m, single): shapes as pieces of at most SIDE rows, each row a word with a bit per cell.
+
+    Pieces are counted from a shape's least x and y, so a shape within SIDE x SIDE cells is one (single).
+    """
+    whole = Window.partitionBy(*keep)
+    placed = spans.select(*keep, "y", "a", "b", F.min("y").over(whole).alias("_y"), F.min("a").over(whole).alias("_x"), F.max("y").over(whole).alias("_y1"), F.max("b").over(whole).alias("_x1"))
+    placed = placed.withColumn("single", (F.col("_y1") - F.col("_y") < SIDE) & (F.col("_x1") - F.col("_x") <= SIDE))
+    columns = F.sequence(F.floor((F.col("a") - F.col("_x")) / SIDE), F.floor((F.col("b") - 1 - F.col("_x")) / SIDE))
+    cut = placed.withColumn("k", F.explode(columns)).withColumns({"x0": F.col("_x") + F.col("k") * SIDE, "y0": F.col("_y") + F.floor((F.col("y") - F.col("_y")) / SIDE) * SIDE})
+    low, n = F.greatest(F.col("a") - F.col("x0"), F.lit(0)), F.least(F.col("b") - F.col("x0"), F.lit(SIDE))
+    ones = F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), (64 - n + low).cast("int"))
+    cut = cut.select(*keep, "single", "x0", "y0", F.struct((F.col("y") - F.col("y0")).cast("int").alias("r"), F.call_function("shiftleft", ones, low.cast("int")).alias("m")).alias("s"))
+    piece = cut.groupBy(*keep, "single", "x0", "y0").agg(F.collect_list("s").alias("s"), (F.max("s.r") + 1).alias("rows"))
+    words = F.aggregate("s", F.array_repeat(F.lit(0).cast("long"), F.col("rows")), lambda m, s: F.transform(m, lambda v, r: F.when(r == s["r"], v.bitwiseOR(s["m"])).otherwise(v)))
+    return piece.select(*keep, "single", "x0", "y0", "rows", words.alias("m"))
+
+
+def bits(pieces: pd.DataFrame, more: int) -> np.ndarray:
+    """Words of pieces as a matrix with a row per piece, zero after its last, and `more` zero columns."""
+    rows = pieces["rows"].to_numpy()
+    out = np.zeros((len(pieces), int(rows.max()) + more), np.uint64)
+    out[np.arange(out.shape[1]) < rows[:, None]] = np.concatenate(pieces["m"].to_list()).astype(np.int64).view(np.uint64)
+    return out
+
+
+def common_bits(left: pd.DataFrame, right: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """[(i, j, area)] of the pairs of pieces of a coarse cell that share cells and whose common box begins there; i: of the whole left side."""
+    if not len(left) or not len(right):
+        return []
+    ax, ay, an, aw, bx, by, bn, bw = (p[c].to_numpy() for p in (left, right) for c in ("x0", "y0", "rows", "cols"))
+    low = {"x": np.maximum(ax[:, None], bx), "y": np.maximum(ay[:, None], by)}
+    met = (low["x"] < np.minimum((ax + aw)[:, None], bx + bw)) & (low["y"] < np.minimum((ay + an)[:, None], by + bn))
+    met &= (low["x"] // COARSE == left["cx"].iloc[0]) & (low["y"] // COARSE == left["cy"].iloc[0])
+    i, j = np.nonzero(met)
+    if not len(i):
+        return []
+    y, by_x = low["y"][i, j], ax[i] - bx[j]
+    n = int((np.minimum(ay[i] + an[i], by[j] + bn[j]) - y).max())
+    up, down = np.maximum(by_x, 0).astype(np.uint64), np.maximum(-by_x, 0).astype(np.uint64)
+    a, b, at, bt = bits(left, n), bits(right, n), y - ay[i], y - by[j]
+    area = np.zeros(len(i), np.int64)
+    for k in range(n):
+        area += np.bitwise_count(((a[i, at + k] << up) >> down) & b[j, bt + k])
+    some = area > 0
+    return [(i[some] + left.index[0], j[some], area[some])]
+
+
+def common_area(a: DataFrame, b: DataFrame, keep: Sequence[str] = ("fid",), o_keep: Sequence[str] = ("fid",)) -> DataFrame:
+    """(keep, o_keep with the prefix o_, area) of all pairs of shapes of two layers of spans that share cells.
+
+    Pieces meet in coarse cells, and a pair of pieces counts in the cell where its common box
+    begins. Pairs of shapes of one piece each, which most are, come out of that join as they
+    are: pairs aren't shuffled. Only those with a shape of several pieces are added up.
+    """
+    names = [*keep, *(f"o_{c}" for c in o_keep)]
+
+    def coarse(pieces: DataFrame) -> DataFrame:
+        span = lambda low, n: F.sequence(F.floor(F.col(low) / COARSE), F.floor((F.col(low) + n - 1) / COARSE))
+        return pieces.withColumn("cx", F.explode(span("x0", F.col("cols")))).withColumn("cy", F.explode(span("y0", F.col("rows"))))
+
+    def measured(spans: DataFrame, by: Sequence[str]) -> DataFrame:
+        p = masks(spans, by)
+        every = F.aggregate("m", F.lit(0).cast("long"), lambda o, v: o.bitwiseOR(v))
+        return p.withColumn("cols", F.length(F.bin(every)))
+
+    one = measured(a, keep)
+    two = measured(b, o_keep)
+
+    kinds = [f"`{c}` {one.schema[c].dataType.simpleString()}" for c in keep] + [f"`o_{c}` {two.schema[c].dataType.simpleString()}" for c in o_keep]
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        right = right.rename(columns=lambda c: c[2:])
+        out = [shared for part in range(0, len(left), max(1, PAIRS // max(1, len(right)))) for shared in common_bits(left.iloc[part : part + max(1, PAIRS // max(1, len(right)))], right)]
+        i, j, area = (np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64) for k in range(3))
+        return pd.DataFrame({**{c: left[c].to_numpy()[i] for c in keep}, **{f"o_{c}": right[c].to_numpy()[j] for c in o_keep}, "area": area})
+
+    def met(left: DataFrame, right: DataFrame) -> DataFrame:
+        cell = ["cx", "cy", "part"]
+        left = coarse(left).withColumn("part", F.pmod(F.xxhash64(*keep), F.lit(PARTS)).cast("int"))
+        right = coarse(right).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+        right = right.select(*(F.col(c).alias(f"o_{c}") for c in right.columns))  # both sides may come from one table
+        return left.groupBy(*cell).cogroup(right.groupBy(*(f"o_{c}" for c in cell))).applyInPandas(run, ", ".join([*kinds, "area long"]))
+
+    several = met(one.where("not single"), two).unionByName(met(one.where("single"), two.where("not single")))
+    return met(one.where("single"), two.where("single")).unionByName(several.groupBy(*names).agg(F.sum("area").alias("area")))
+
+
 def minus(a: DataFrame, b: DataFrame, key: str = "fid") -> DataFrame:
     """(key, y, a, b): what is left of each span of a outside all of b."""
     own = tiled(a).select(key, "y", "t", "a", "b")

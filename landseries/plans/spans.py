@@ -35,9 +35,8 @@ def zones(t: Tables) -> DataFrame:
   FROM cell a JOIN cell b USING (x, y) WHERE a.code = 1 AND b.code = 2 GROUP BY 1, 2""", COVER)
 def intersection(t: Tables) -> DataFrame:
     """Area of each intersection, with chosen fields of both layers."""
-    pairs = op.area(op.common(layer(t, 1), layer(t, 2)), "fid", "o_fid")
-    fields = t.shapes.select("fid", "region"), t.shapes.select(F.col("fid").alias("o_fid"), F.col("tile").alias("o_tile"))
-    return pairs.join(fields[0], "fid").join(fields[1], "o_fid")
+    of = lambda code, field: op.shape_spans(t.shapes.where(F.col("code") == code), ("fid", field))
+    return op.common_area(of(1, "region"), of(2, "tile"), ("fid", "region"), ("fid", "tile"))
 
 
 @query("jn2_shape_difference", "SELECT fid, count(*) AS area FROM cell WHERE code = 1 AND (x, y) NOT IN (SELECT (x, y) FROM cell WHERE code = 2) GROUP BY 1", COVER)

@@ -79,6 +79,18 @@ def test_rows_grow_with_height_not_area(spark):
     assert op.shape_spans(wide).count() == 3 and op.area(op.shape_spans(wide), "fid").first().area == 3_000_000
 
 
+@pytest.mark.parametrize("side", [64, 4])
+def test_common_areas_are_those_of_cells(shapes, monkeypatch, side):
+    """Of shapes in one piece and in many; a pair comes out once, and of small shapes none is shuffled after the join."""
+    monkeypatch.setattr(op, "SIDE", side)
+    table, cells = shapes
+    spans = op.shape_spans(table)
+    a, b = spans.where("fid <= 8"), spans.where("fid > 2")
+    rows = op.common_area(a, b).collect()
+    expected = {(f, g): len(cells[f] & cells[g]) for f in range(1, 9) for g in range(3, 15) if cells[f] & cells[g]}
+    assert len(rows) == len(expected) and {(r.fid, r.o_fid): r.area for r in rows} == expected
+
+
 def test_common_spans_are_whole(spark, monkeypatch):
     monkeypatch.setattr(op, "TILE", 4)
     a = spark.createDataFrame([(1, 0, -3, 21), (2, 1, 0, 5)], "fid long, y long, a long, b long")
