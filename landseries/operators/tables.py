@@ -88,6 +88,20 @@ def rectangle_join(a: DataFrame, b: DataFrame, size: int = 8) -> DataFrame:
     return met.where((F.floor(low_x / size) == F.col("cx")) & (F.floor(low_y / size) == F.col("cy"))).drop("cx", "cy")
 
 
+def rectangle_filter(a: DataFrame, b: DataFrame, key: str = "fid", size: int = 8) -> DataFrame:
+    """The rectangles of a, told apart by key, that overlap any of b with positive area.
+
+    A semi-join in each coarse cell against b's different rectangles: pairs are never made.
+    """
+    left = covered_cells(a.select(key, "x0", "y0", "w", "h"), size)
+    right = covered_cells(b.select("x0", "y0", "w", "h").distinct(), size).toDF(*(f"o_{c}" for c in ("x0", "y0", "w", "h", "cx", "cy")))
+    same = (F.col("cx") == F.col("o_cx")) & (F.col("cy") == F.col("o_cy"))
+    low_x, low_y = F.greatest("x0", "o_x0"), F.greatest("y0", "o_y0")
+    high = {c: F.least(F.col(f"{c}0") + F.col(n), F.col(f"o_{c}0") + F.col(f"o_{n}")) for c, n in (("x", "w"), ("y", "h"))}
+    found = left.join(right, same & (low_x < high["x"]) & (low_y < high["y"]), "left_semi").select(key).distinct()
+    return a.join(found, key, "left_semi")
+
+
 def overlap_area() -> Column:
     dx = F.least(F.col("x0") + F.col("w"), F.col("o_x0") + F.col("o_w")) - F.greatest("x0", "o_x0")
     dy = F.least(F.col("y0") + F.col("h"), F.col("o_y0") + F.col("o_h")) - F.greatest("y0", "o_y0")

@@ -64,7 +64,7 @@ def intersection(t: Tables) -> DataFrame:
 
 @query("jn4_semi_join", "SELECT fid, code FROM ra WHERE fid IN (SELECT fid FROM met)", RECTS)
 def spatial_filter(t: Tables) -> DataFrame:
-    return t.polygons.where("code = 1").join(met(t).select("fid"), "fid", "left_semi").select("fid", "code")
+    return op.rectangle_filter(t.polygons.where("code = 1"), t.polygons.where("code = 2")).select("fid", "code")
 
 
 @query("jn7_count_in_polygon", "SELECT ra.fid, count(o_fid) AS n FROM ra LEFT JOIN met ON met.fid = ra.fid GROUP BY 1", RECTS)
