@@ -75,12 +75,14 @@ def fixed(width: int, height: int) -> Callable[[DataFrame], tuple[int, int, int,
     return lambda cells: (width, height, 0, 0)
 
 
-def strips(n: int) -> Callable[[DataFrame], tuple[int, int, int, int]]:
-    """n strips of rows over the whole width."""
-
-    def size(cells: DataFrame) -> tuple[int, int, int, int]:
-        x0, x1, y0, y1 = cells.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
-        return (1, 1, 0, 0) if x0 is None else (x1 - x0 + 1, max(1, -(-(y1 - y0 + 1) // n)), x0, y0)
+def strips(n: int, cells: int = 1 << 18) -> Callable[[DataFrame], tuple[int, int, int, int]]:
+    """n strips of rows over the whole width, or as many more as keep each under so many cells (or one row): a strip is computed in one task."""
+
+    def size(table: DataFrame) -> tuple[int, int, int, int]:
+        x0, x1, y0, y1 = table.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+        if x0 is None:
+            return 1, 1, 0, 0
+        return x1 - x0 + 1, max(1, min(-(-(y1 - y0 + 1) // n), cells // (x1 - x0 + 1))), x0, y0
 
     return size
 

@@ -1,5 +1,6 @@
 """Work that must not grow with pairs or with the height of a map."""
 
+from landseries.operators import blocks
 from landseries.operators import tables as op
 
 
@@ -10,3 +11,10 @@ def test_rectangle_filter_makes_no_pairs(spark):
     found = op.rectangle_filter(a, b)
     assert sorted(r.fid for r in found.collect()) == [1, 3]
     assert found.columns == a.columns and "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_strips_are_bounded(spark):
+    cells = spark.sql("select id % 10 as x, id div 10 as y from range(1000)")
+    assert blocks.strips(2)(cells) == (10, 50, 0, 0)
+    assert blocks.strips(2, cells=70)(cells) == (10, 7, 0, 0)
+    assert blocks.strips(2, cells=3)(cells) == (10, 1, 0, 0)
