@@ -12,12 +12,16 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TILE = 256
 SIDE, COARSE = 64, 32
 PARTS, PAIRS = 8, 1 << 20  # tasks that may share a coarse cell; pairs that numpy looks at together
+MOST_CORNERS = 512  # points of a shape whose hull is found together with those of others
+MEASURED = ("area", "perimeter", "hull", "long", "short")
 
 
 def edges(shapes: DataFrame, keep: Sequence[str] = ("fid",)) -> DataFrame:
@@ -259,6 +263,18 @@ def ring_area(rings: Column) -> Column:
     return F.aggregate(F.transform(rings, one), F.lit(0.0), lambda s, v: s + v)
 
 
+def flat_points(rings: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a batch of rings: the shape, x and y of every point, the place of the point after it in its ring, and its ring's size."""
+    sizes = lambda a: pc.fill_null(pc.list_value_length(a), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    each = rings.flatten()
+    points, n = each.flatten(), sizes(each)
+    x, y = (pc.cast(pc.struct_field(points, c), pa.float64()).to_numpy(zero_copy_only=False) for c in "xy")
+    shape = np.repeat(np.repeat(np.arange(len(rings)), sizes(rings)), n)
+    nexts, stops = np.arange(1, len(x) + 1), np.cumsum(n)
+    nexts[stops[n > 0] - 1] = (stops - n)[n > 0]
+    return shape, x, y, nexts, np.repeat(n, n)
+
+
 def hull(points: np.ndarray) -> np.ndarray:
     """The corners of the convex hull, anticlockwise (monotone chain)."""
     p = np.unique(points, axis=0)
@@ -289,6 +305,74 @@ def hull_measures(points: np.ndarray) -> tuple[float, float, float]:
     return area, float(best.max()), float(best.min())
 
 
+def below(of: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The places of the lower hull's corners in each group `of`; points are distinct and sorted by group, x and y.
+
+    A point on or above the line between those beside it is no corner, so all such points go at once.
+    """
+    at = np.arange(len(of))
+    while True:
+        a, b, c = at[:-2], at[1:-1], at[2:]
+        off = (of[a] == of[c]) & ((x[b] - x[a]) * (y[c] - y[a]) - (y[b] - y[a]) * (x[c] - x[a]) <= 0)
+        if not off.any():
+            return at
+        at = np.delete(at, np.nonzero(off)[0] + 1)
+
+
+def all_hull_measures(of: np.ndarray, x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+    """hull_measures() of each of n groups of points (of: ascending), NaN where there is none: all groups together, large ones by themselves."""
+    out = np.full((n, 3), np.nan)
+    sizes = np.bincount(of, minlength=n)
+    many, stops = sizes > MOST_CORNERS, np.cumsum(sizes)
+    for k in np.nonzero(many)[0]:
+        own = slice(stops[k] - sizes[k], stops[k])
+        out[k] = hull_measures(np.column_stack([x[own], y[own]]))
+    here = ~many[of]
+    order = np.lexsort((y[here], x[here], of[here]))
+    of, x, y = (c[here][order] for c in (of, x, y))
+    new = np.ones(len(of), bool)
+    new[1:] = (of[1:] != of[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    of, x, y = of[new], x[new], y[new]
+    lower, upper = below(of, x, y), len(of) - 1 - below(of[::-1], x[::-1], y[::-1])
+    ends = np.ones((2, len(of)), bool)
+    ends[0, 1:], ends[1, :-1] = of[1:] != of[:-1], of[1:] != of[:-1]
+    upper = upper[~ends.any(axis=0)[upper]]  # both chains have the ends
+    corner, side = np.concatenate([lower, upper]), np.repeat([0, 1], [len(lower), len(upper)])
+    corner = corner[np.lexsort((np.where(side, -corner, corner), side, of[corner]))]
+    of, x, y = of[corner], x[corner], y[corner]
+    count = np.bincount(of, minlength=n)
+    first = np.cumsum(count) - count
+    some = np.nonzero((count > 0) & (count < 3))[0]
+    last = first[some] + count[some] - 1
+    out[some] = np.column_stack([np.zeros(len(some)), np.hypot(x[last] - x[first[some]], y[last] - y[first[some]]), np.zeros(len(some))])
+    for whole in np.split(np.nonzero(count > 2)[0], np.nonzero(np.diff(np.cumsum(count[count > 2] ** 2) // PAIRS))[0] + 1):
+        if len(whole):
+            out[whole] = rectangles(x, y, first[whole], count[whole])
+    return out
+
+
+def rectangles(x: np.ndarray, y: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Area, longer and shorter side of the smallest rectangle of hulls of three and more corners, each a stretch of x and y."""
+    start = np.cumsum(count) - count
+    within = np.arange(count.sum()) - np.repeat(start, count)
+    own, size = np.repeat(first, count) + within, np.repeat(count, count)
+    nexts = np.repeat(first, count) + (within + 1) % size
+    area = np.add.reduceat(x[own] * y[nexts] - x[nexts] * y[own], start) / 2
+    dx, dy = x[nexts] - x[own], y[nexts] - y[own]
+    length = np.hypot(dx, dy)
+    dx, dy = dx / length, dy / length
+    begin = np.cumsum(size) - size  # every side meets all corners of its hull
+    side = np.repeat(np.arange(len(size)), size)
+    other = np.repeat(np.repeat(first, count), size) + np.arange(len(side)) - np.repeat(begin, size)
+    sizes = []
+    for way in (x[other] * dx[side] + y[other] * dy[side], y[other] * dx[side] - x[other] * dy[side]):
+        sizes.append(np.maximum.reduceat(way, begin) - np.minimum.reduceat(way, begin))
+    box = sizes[0] * sizes[1]
+    least = box == np.repeat(np.minimum.reduceat(box, start), count)
+    best = np.minimum.reduceat(np.where(least, np.arange(len(box)), len(box)), start)
+    return np.column_stack([area, np.maximum(*sizes)[best], np.minimum(*sizes)[best]])
+
+
 def descriptors(shapes: DataFrame, key: str = "fid") -> DataFrame:
     """(key, area, perimeter, convexity, compactness, elongation) of shapes (key, rings).
 
@@ -298,18 +382,18 @@ def descriptors(shapes: DataFrame, key: str = "fid") -> DataFrame:
     """
     kind = shapes.schema[key].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for rings in batch["rings"]:
-                parts = [np.array([(p["x"], p["y"]) for p in ring], float).reshape(-1, 2) for ring in (rings if rings is not None else ())]
-                rows.append(hull_measures(np.concatenate(parts)) if any(len(p) for p in parts) else (None,) * 3)
-            out = pd.DataFrame(rows, columns=["hull", "long", "short"], dtype="float64")
-            out.insert(0, key, batch[key].to_numpy())
-            yield out
-
-    measured = shapes.select(key, "rings").mapInPandas(run, f"`{key}` {kind}, hull double, long double, short double")
-    length = edges(shapes, (key,)).groupBy(key).agg(F.sum(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))).alias("perimeter"))
-    sized = shapes.select(key, F.abs(ring_area(F.col("rings"))).alias("area")).join(length, key, "left").join(measured, key, "left")
+            rings, n = batch.column(1), batch.num_rows
+            of, x, y, nexts, size = flat_points(rings)
+            area = np.abs(np.bincount(of, x * y[nexts] - x[nexts] * y, n)) / 2.0
+            area[~pc.is_valid(rings).to_numpy(zero_copy_only=False)] = np.nan
+            sides = size > 1
+            length = np.bincount(of[sides], np.hypot(x[nexts] - x, y[nexts] - y)[sides], n).astype(float)  # of no sides: whole zeros
+            length[np.bincount(of[sides], minlength=n) == 0] = np.nan
+            columns = [area, length, *all_hull_measures(of, x, y, n).T]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, from_pandas=True) for c in columns)], [key, *MEASURED])
+
+    sized = shapes.select(key, "rings").mapInArrow(run, f"`{key}` {kind}, {', '.join(f'{c} double' for c in MEASURED)}")
     over = lambda a, b: F.when(b > 0, a / b)
     return sized.select(key, "area", "perimeter", over(F.col("area"), F.col("hull")).alias("convexity"), over(4 * F.pi() * F.col("area"), F.col("perimeter") ** 2).alias("compactness"), over(F.col("long"), F.col("short")).alias("elongation"))

@@ -96,3 +96,22 @@ def test_common_spans_are_whole(spark, monkeypatch):
     a = spark.createDataFrame([(1, 0, -3, 21), (2, 1, 0, 5)], "fid long, y long, a long, b long")
     b = spark.createDataFrame([(7, 0, -9, 2), (7, 0, 3, 30), (8, 1, 5, 9)], "fid long, y long, a long, b long")
     assert sorted(map(tuple, op.common(a, b).collect())) == [(1, 7, 0, -3, 2), (1, 7, 0, 3, 21)]
+
+
+@pytest.mark.parametrize("most", [512, 8])
+def test_descriptors_of_a_batch_are_those_of_each_shape_and_move_nothing(spark, monkeypatch, most):
+    monkeypatch.setattr(op, "MOST_CORNERS", most)
+    rng = np.random.default_rng(5)
+    sizes = rng.integers(0, 25, 60)
+    points = [rng.normal(size=(n, 2)) if k % 2 else rng.integers(0, 5, (n, 2)).astype(float) for k, n in enumerate(sizes)]
+    of = np.repeat(np.arange(60), sizes)
+    got = op.all_hull_measures(of, *np.concatenate(points).T, 60)
+    for p, row in zip(points, got, strict=True):
+        area, long, short = op.hull_measures(p) if len(p) else (math.nan,) * 3
+        assert np.allclose([area, long * short], [row[0], row[1] * row[2]], equal_nan=True)
+    table = spark.createDataFrame([(1, [[(0.0, 0.0), (4.0, 0.0), (4.0, 2.0), (0.0, 2.0)], [(1.0, 1.0), (1.0, 1.5), (2.0, 1.5), (2.0, 1.0)]]), (2, []), (3, None), (4, [[(1.0, 1.0)]])], SHAPE)
+    out = op.descriptors(table)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    rows = {r.fid: r[1:] for r in out.collect()}
+    assert rows[1] == pytest.approx((7.5, 15.0, 7.5 / 8, 4 * math.pi * 7.5 / 225, 2.0))
+    assert rows[2] == (0.0, None, None, None, None) and rows[3] == (None,) * 5 and rows[4] == (0.0, None, None, None, None)
