@@ -21,6 +21,7 @@ TILE = 256
 SIDE, COARSE = 64, 32
 PARTS, PAIRS = 8, 1 << 20  # tasks that may share a coarse cell; pairs that numpy looks at together
 MOST_CORNERS = 512  # points of a shape whose hull is found together with those of others
+CROSSINGS = 1 << 19  # sides of rows that numpy sorts together, but for a shape of more
 MEASURED = ("area", "perimeter", "hull", "long", "short")
 
 
@@ -36,15 +37,35 @@ def shape_spans(shapes: DataFrame, keep: Sequence[str] = ("fid",)) -> DataFrame:
     """(keep, y, a, b): the spans of shapes (keep, rings: array of arrays of x, y).
 
     Each side gives its crossing with the middle of every row that it passes; a row's sorted
-    crossings in pairs are its spans. keep must tell shapes apart. Null and empty rings give none.
+    crossings in pairs are its spans. A shape is one row and its spans come out of that row, so nothing
+    is shuffled. Null and empty rings give none.
     """
-    side = edges(shapes, keep).where("y1 != y2")
-    first, last = F.ceil(F.least("y1", "y2") - 0.5), F.ceil(F.greatest("y1", "y2") - 0.5) - 1
-    rows = side.withColumn("y", F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))))
-    cross = F.col("x1") + (F.col("y") + 0.5 - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
-    met = rows.select(*keep, "y", F.ceil(cross - 0.5).alias("c")).groupBy(*keep, "y").agg(F.array_sort(F.collect_list("c")).alias("c"))
-    pairs = F.transform(F.sequence(F.lit(0), F.floor(F.size("c") / 2) - 1), lambda k: F.struct(F.get("c", (2 * k).cast("int")).alias("a"), F.get("c", (2 * k + 1).cast("int")).alias("b")))
-    return met.select(*keep, "y", F.explode(pairs).alias("s")).select(*keep, "y", "s.a", "s.b").where("a < b")
+    kinds = ", ".join(f"`{c}` {shapes.schema[c].dataType.simpleString()}" for c in keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, x, y, nexts, size = flat_points(batch.column(len(keep)))
+            x2, y2 = x[nexts], y[nexts]
+            low, high = np.ceil(np.minimum(y, y2) - 0.5), np.ceil(np.maximum(y, y2) - 0.5)
+            met = (size > 1) & (high > low) & ~np.isnan(x + x2)
+            of, x, y, x2, y2, low, n = of[met], x[met], y[met], x2[met], y2[met], low[met].astype(np.int64), (high - low)[met].astype(np.int64)
+            upto = np.cumsum(np.bincount(of, n, batch.num_rows))[of] // CROSSINGS  # whole shapes at a time
+            for part in np.split(np.arange(len(of)), np.nonzero(np.diff(upto))[0] + 1):
+                k = np.repeat(part, n[part])
+                row = np.repeat(low[part] - np.cumsum(n[part]) + n[part], n[part]) + np.arange(len(k))
+                at = np.ceil(x[k] + (row + 0.5 - y[k]) * (x2[k] - x[k]) / (y2[k] - y[k]) - 0.5).astype(np.int64)
+                order = np.lexsort((at, row, of[k]))
+                k, row, at = k[order], row[order], at[order]
+                first = np.ones(len(k), bool)
+                first[1:] = (of[k[1:]] != of[k[:-1]]) | (row[1:] != row[:-1])
+                place = np.arange(len(k)) - np.maximum.accumulate(np.where(first, np.arange(len(k)), 0))
+                a = np.nonzero(place % 2 == 0)[0]
+                a = a[a + 1 < len(k)]
+                a = a[(place[a + 1] == place[a] + 1) & (at[a] < at[np.minimum(a + 1, len(k) - 1)])]
+                own = pa.array(of[k[a]])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(own) for c in range(len(keep))), *map(pa.array, (row[a], at[a], at[a + 1]))], [*keep, "y", "a", "b"])
+
+    return shapes.select(*keep, "rings").mapInArrow(run, f"{kinds}, y long, a long, b long")
 
 
 def rectangle_spans(rects: DataFrame, keep: Sequence[str] = ("fid",)) -> DataFrame:
@@ -206,26 +227,67 @@ def owned(spans: DataFrame, key: str = "fid") -> DataFrame:
     return met.groupBy("y", "t", "a", "b").agg(F.min(key).alias(key)).select(key, "y", "a", "b")
 
 
-def half_widths(radius: int, square: bool) -> Column:
+def half_widths(radius: int, square: bool) -> list[tuple[int, int]]:
     """(dy, w) of the rows of a ball or square around a cell."""
-    rows = [(d, radius if square else int((radius * radius - d * d) ** 0.5)) for d in range(-radius, radius + 1)]
-    return F.array(*(F.struct(F.lit(d).alias("dy"), F.lit(w).alias("w")) for d, w in rows))
+    return [(d, radius if square else int((radius * radius - d * d) ** 0.5)) for d in range(-radius, radius + 1)]
+
+
+def covered(row: np.ndarray, a: np.ndarray, b: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, a, b): the stretches of each row that at least this many of its spans cover; those that touch are one."""
+    row, x, step = np.concatenate([row, row]), np.concatenate([a, b]), np.repeat([1, -1], len(a))
+    order = np.lexsort((-step, x, row))
+    row, x, step = row[order], x[order], step[order]
+    depth = np.cumsum(step)
+    start, stop = (step == 1) & (depth == least), (step == -1) & (depth == least - 1)
+    some = x[start] < x[stop]
+    return row[start][some], x[start][some], x[stop][some]
+
+
+def reshaped(spans: DataFrame, radius: int, square: bool, key: str, erode: bool) -> DataFrame:
+    """(key, y, a, b): dilated or eroded shapes, cut at tiles.
+
+    A shape's spans of a tile of TILE x TILE cells and of a rim of the radius around it are one
+    row, so spans are shuffled once and not per row of the ball; the tiles of a batch are computed together.
+    """
+    rows = half_widths(radius, square)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ty, tx = (batch.column(c).to_numpy() for c in (1, 2))
+            lists = batch.column(3)
+            of = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy())
+            flat = lists.flatten()
+            y, a, b = (pc.struct_field(flat, c).to_numpy() for c in "yab")
+            y, a, b = y - ty[of] * TILE + radius, np.maximum(a - tx[of] * TILE, -radius), np.minimum(b - tx[of] * TILE, TILE + radius)
+            high = TILE + 4 * radius + 1  # rows of a tile, with its rim and what moves beyond
+            line = of * high + y + radius
+            if erode:
+                line, a, b = covered(line, a, b, 1)
+            side = -1 if erode else 1
+            line, a, b = np.concatenate([line + d for d, _ in rows]), np.concatenate([a - w * side for _, w in rows]), np.concatenate([b + w * side for _, w in rows])
+            some = a < b
+            line, a, b = covered(line[some], a[some], b[some], len(rows) if erode else 1)
+            of, y, a, b = line // high, line % high - 2 * radius, np.maximum(a, 0), np.minimum(b, TILE)
+            some = (a < b) & (y >= 0) & (y < TILE)
+            of, y, a, b = (v[some] for v in (of, y, a, b))
+            columns = [batch.column(0).take(pa.array(of)), *map(pa.array, (y + ty[of] * TILE, a + tx[of] * TILE, b + tx[of] * TILE))]
+            yield pa.RecordBatch.from_arrays(columns, [key, "y", "a", "b"])
+
+    tiles = lambda low, high: F.explode(F.sequence(F.floor((low - radius) / TILE), F.floor((high + radius) / TILE)))
+    near = spans.where("a < b").select(key, *(F.col(c).cast("long").alias(c) for c in "yab"))
+    near = near.withColumn("ty", tiles(F.col("y"), F.col("y"))).withColumn("tx", tiles(F.col("a"), F.col("b") - 1))
+    whole = near.repartition(key, "ty", "tx").groupBy(key, "ty", "tx").agg(F.collect_list(F.struct("y", "a", "b")).alias("s"))
+    return whole.mapInArrow(run, f"`{key}` {spans.schema[key].dataType.simpleString()}, y long, a long, b long")
 
 
 def dilated(spans: DataFrame, radius: int, square: bool = False, key: str = "fid") -> DataFrame:
     """(key, y, a, b): cells within a radius of a shape's cells, each once."""
-    wide = spans.withColumn("d", F.explode(half_widths(radius, square))).select(key, (F.col("y") + F.col("d.dy")).alias("y"), (F.col("a") - F.col("d.w")).alias("a"), (F.col("b") + F.col("d.w")).alias("b"))
-    return depths([key], n=wide).where("n > 0").select(key, "y", "a", "b")
+    return reshaped(spans, radius, square, key, erode=False)
 
 
 def eroded(spans: DataFrame, radius: int, square: bool = False, key: str = "fid") -> DataFrame:
-    """(key, y, a, b): cells whose whole surroundings are in the shape.
-
-    A shape's spans must not overlap or touch within a row: spans that do are joined first.
-    """
-    whole = joined(spans, key)
-    narrow = whole.withColumn("d", F.explode(half_widths(radius, square))).select(key, (F.col("y") + F.col("d.dy")).alias("y"), (F.col("a") + F.col("d.w")).alias("a"), (F.col("b") - F.col("d.w")).alias("b"))
-    return depths([key], n=narrow.where("a < b")).where(F.col("n") == 2 * radius + 1).select(key, "y", "a", "b")
+    """(key, y, a, b): cells whose whole surroundings are in the shape; its spans may overlap or touch."""
+    return reshaped(spans, radius, square, key, erode=True)
 
 
 def joined(spans: DataFrame, key: str = "fid") -> DataFrame:

@@ -115,3 +115,27 @@ def test_descriptors_of_a_batch_are_those_of_each_shape_and_move_nothing(spark,
     rows = {r.fid: r[1:] for r in out.collect()}
     assert rows[1] == pytest.approx((7.5, 15.0, 7.5 / 8, 4 * math.pi * 7.5 / 225, 2.0))
     assert rows[2] == (0.0, None, None, None, None) and rows[3] == (None,) * 5 and rows[4] == (0.0, None, None, None, None)
+
+
+def test_buffers_are_whole_across_tiles_and_shuffle_spans_once(spark, monkeypatch):
+    monkeypatch.setattr(op, "TILE", 4)
+    rows = [("a", y, -6, 7) for y in range(-7, 6)] + [("a", 0, 7, 11), ("a", 1, 3, 9), ("b", 2, 0, 3), (None, 1, 1, 5)]
+    spans = spark.createDataFrame(rows, "name string, y long, a long, b long")
+    cells = {n: {(x, y) for m, y, a, b in rows if m == n for x in range(a, b)} for n in ("a", "b", None)}
+    near = [(a, b) for a in range(-2, 3) for b in range(-2, 3) if a * a + b * b <= 4]
+    for made, want in (
+        (op.dilated(spans, 2, key="name"), {n: {(x + a, y + b) for x, y in c for a, b in near} for n, c in cells.items()}),
+        (op.eroded(spans, 2, key="name"), {n: {(x, y) for x, y in c if all((x + a, y + b) in c for a, b in near)} for n, c in cells.items()}),
+    ):
+        got = {n: [(x, r.y) for r in made.collect() if r.name == n for x in range(r.a, r.b)] for n in cells}
+        assert {n: set(c) for n, c in got.items()} == want and all(len(c) == len(set(c)) for c in got.values())
+    plan = op.eroded(spans, 2, key="name")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1
+
+
+def test_spans_of_shapes_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(op, "CROSSINGS", 16)
+    table = spark.createDataFrame([(k, [[(0.0, 0.0), (5.0, 0.0), (5.0, 6.0), (0.0, 6.0)]]) for k in range(20)], SHAPE).coalesce(1)
+    spans = op.shape_spans(table)
+    assert "Exchange" not in spans._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, spans.collect())) == [(k, y, 0, 5) for k in range(20) for y in range(6)]
