@@ -79,3 +79,26 @@ def test_context_helps(image):
         told = op.auto_context(rows.where("key % 2 = 0"), rows.withColumnRenamed("label", "ref"), [1, 2], settings, rounds)
         right.append(told.agg(F.avg((F.col("label") == F.col("ref")).cast("int"))).first()[0])
     assert right[1] > right[0]
+
+
+def test_nearest_seeds_of_a_block():
+    rng = np.random.default_rng(4)
+    xy = np.stack(np.meshgrid(np.arange(-9, 12), np.arange(-5, 20)), axis=-1).reshape(-1, 2)
+    cells = np.column_stack([xy, rng.integers(0, 3, len(xy))]).astype(float)
+    square = xy // 4
+    seeds = np.unique(square, axis=0)
+    seeds = np.concatenate([seeds[rng.random(len(seeds)) < 0.8], [[50, 50]]])
+    own = (square[:, None] == seeds).all(axis=2).any(axis=1)
+    cells, square = cells[own], square[own]
+    centres = np.column_stack([seeds * 4 + 1.5, rng.integers(0, 3, len(seeds))])
+    scale = np.array([0.125, 0.125, 1.0])
+    want = []
+    for c, s in zip(cells, square, strict=True):
+        near = [k for k in range(len(seeds)) if (abs(seeds[k] - s) <= 1).all()]
+        want.append(min(near, key=lambda k, c=c: (((c - centres[k]) ** 2 * scale).sum(), *seeds[k])))
+    assert op.nearest(cells, square, seeds, centres, scale).tolist() == want
+
+
+def test_shares_with_the_number_of_cells(spark):
+    rows = spark.createDataFrame([(1, 3), (1, 4), (2, 3)], "segment long, label int")
+    assert {r.segment: (r.shares, r.n) for r in op.class_shares(rows, [3, 4], size="n").collect()} == {1: ([0.5, 0.5], 2), 2: ([1.0, 0.0], 1)}
