@@ -20,11 +20,7 @@ def sieved_by_rule(cells: DataFrame, parent: Column, least: int) -> DataFrame:
     """
     for eight in (True, False):
         named = stored(patches.patches(cells, eight).withColumn("parent", parent))
-        sizes = named.groupBy("patch").agg(F.count("*").alias("size"))
-        sized = named.join(sizes, "patch")
-        touching = patches.neighbours(sized, patches.EIGHT if eight else patches.FOUR).where(f"size < {least} and patch != n_patch and parent = n_parent")
-        new = touching.groupBy("patch").agg(F.max_by("n_label", F.struct("n_size", -F.col("n_label"))).alias("new"))
-        cells = stored(named.join(new, "patch", "left").select("x", "y", F.coalesce("new", "label").alias("label")))
+        cells = stored(patches.sieved(named, least, eight, within="parent"))
     return cells
 
 

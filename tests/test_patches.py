@@ -41,3 +41,23 @@ def test_components(spark):
             root[a] = root[b] = min(root[a], root[b])
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {k: r for k, r in enumerate(root) if r != k}
+
+
+@pytest.mark.parametrize("eight", [True, False])
+@pytest.mark.parametrize("within", [None, "parent"])
+def test_small_patches_look_around(spark, eight, within):
+    rng = np.random.default_rng(6)
+    cells = [(int(x), int(y), int(rng.integers(1, 5))) for x in range(14) for y in range(11) if rng.random() < 0.95]
+    named = patches.patches(spark.createDataFrame(cells, "x long, y long, label int"), eight).selectExpr("*", "label div 2 AS parent").cache()
+    at = {(r.x, r.y): r for r in named.collect()}
+    size: dict[int, int] = {}
+    for r in at.values():
+        size[r.patch] = size.get(r.patch, 0) + 1
+    best: dict[int, tuple] = {}
+    for (x, y), r in at.items():
+        for a, b in patches.EIGHT if eight else patches.FOUR:
+            n = at.get((x + a, y + b))
+            if n and size[r.patch] < 4 and n.patch != r.patch and (within is None or n.parent == r.parent):
+                best[r.patch] = max(best.get(r.patch, (0, 0)), (size[n.patch], -n.label))
+    want = {(x, y): -best[r.patch][1] if r.patch in best else r.label for (x, y), r in at.items()}
+    assert {(r.x, r.y): r.label for r in patches.sieved(named, 4, eight, within).collect()} == want
