@@ -105,3 +105,26 @@ def test_kinds_votes_and_boosting(samples):
 def test_search_keeps_groups_whole(samples):
     got = op.search(samples.where("label is not null and key is not null and model in ('m0', 'm1')"), CLASSES, [Settings("tree", 1, 1, 8), Settings("bagging", 3, 3, 8)], 2, "polygon").collect()
     assert [r.best for r in sorted(got)] == [False, True] and all(0 < r["mean"] < 1 for r in got)
+
+
+def test_a_level_is_one_pass(spark, samples):
+    """Jobs of a fit: two tables are stored and each pass, for ends, levels and leaves, is a map and a group."""
+    context, known = spark.sparkContext, samples.cache()
+    known.count()
+    context.setJobGroup("fit", "")
+    op.fit(known, CLASSES, Settings("bagging", 3, 3, 8))
+    context.setJobGroup("told", "")
+    told = op.voted([op.fit(known, CLASSES, Settings("bagging", 3, 3, 8))] * 3, known.drop("label"))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("fit")) <= 2 + 2 * (1 + 3 + 1)
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan
+
+
+def test_features_that_are_null_short_or_not_numbers(spark):
+    rows = [(k, "m", 1 + k % 2, x) for k, x in enumerate([[0.0, 1.0], [1.0, None], [float("nan"), 1.0], [1.0], None, [1.0, 0.0], [0.0, 0.0], [1.0, 0.5]])]
+    table = spark.createDataFrame(rows, "key long, model string, label int, x array<double>")
+    forest = op.fit(table, CLASSES, Settings("tree", 1, 1, 4))
+    assert (forest.low, forest.high) == ([0.0, 0.0], [1.0, 1.0])
+    assert [tuple(r) for r in forest.splits.collect()] == [("m", 0, 1, 0, 0)]
+    assert {r.key: r.label for r in op.classify(forest, table.drop("label")).collect()} == {k: 2 if x and x[0] == 1 else 1 for k, _, _, x in rows}
