@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from landseries.operators import superpixels as op
 from landseries.operators.forest import Settings
+from landseries.plans import superpixels as plans
 
 
 def plain(value: dict, step: int, weight: float, rounds: int) -> dict:
@@ -102,3 +103,17 @@ def test_nearest_seeds_of_a_block():
 def test_shares_with_the_number_of_cells(spark):
     rows = spark.createDataFrame([(1, 3), (1, 4), (2, 3)], "segment long, label int")
     assert {r.segment: (r.shares, r.n) for r in op.class_shares(rows, [3, 4], size="n").collect()} == {1: ([0.5, 0.5], 2), 2: ([1.0, 0.0], 1)}
+
+
+def test_cells_of_auto_context_are_made_once(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            made.add(len(b))
+            yield b
+
+    k = F.col("id")
+    cells = spark.range(300).select((k % 150).alias("x"), F.floor(k / 150).alias("y"), (1 + k % 5).cast("int").alias("label"), (k % 7 / 7).alias("conf"), (k % 9).alias("segment"))
+    monkeypatch.setattr(plans, "segments", lambda t: cells.mapInPandas(counted, cells.schema))
+    assert plans.auto_context(None).count() == 300 and made.value == 300
