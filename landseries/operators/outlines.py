@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from landseries.sources.store import stored
 
+#: Chains are first settled within blocks of this many cells a side.
+SIDE = 256
+
 
 def vertex(x: Column, y: Column) -> Column:
     """One number for a corner of the grid."""
@@ -49,12 +52,13 @@ def sides(cells: DataFrame, patch: str = "patch") -> DataFrame:
 
 
 def chained(links: DataFrame, most: int = 40) -> DataFrame:
-    """(id, chain, pos) of links (id, next): next is the id that follows, or null; each id follows at most one.
+    """(id, chain, pos) of links (id, next[, n]): next is the id that follows, or null; each id follows at most one.
 
     Pointer doubling: a round joins every id with what it points to, which doubles the
     reach, so a chain of n takes log2(n) rounds. A closed chain is cut before its least id.
-    chain is the id of its last member, pos counts from 0.
+    chain is the id of its last member, pos counts from 0, by n places for an id that has n.
     """
+    places = F.col("n") if "n" in links.columns else F.lit(1)
     new, open_ = stored(links.select("id", "next", F.col("id").alias("low"))), -1
     for _ in range(most):
         ahead = new.select(F.col("id").alias("next"), F.col("next").alias("next2"), F.col("low").alias("low2"))
@@ -67,8 +71,8 @@ def chained(links: DataFrame, most: int = 40) -> DataFrame:
     else:
         raise RuntimeError("chains did not settle")
     closed = stored(new.where("next is not null and id = low").select(F.col("id").alias("cut")))
-    opened = links.select("id", "next").join(closed, F.col("next") == F.col("cut"), "left").select("id", F.when(F.col("cut").isNull(), F.col("next")).alias("next"))
-    now = stored(opened.select("id", "next", F.when(F.col("next").isNull(), 0).otherwise(1).cast("long").alias("far"), F.coalesce("next", "id").alias("last")))
+    opened = links.select("id", "next", places.alias("n")).join(closed, F.col("next") == F.col("cut"), "left").select("id", F.when(F.col("cut").isNull(), F.col("next")).alias("next"), "n")
+    now = stored(opened.select("id", "next", F.when(F.col("next").isNull(), 0).otherwise(F.col("n")).cast("long").alias("far"), F.coalesce("next", "id").alias("last")))
     for _ in range(most):
         if not now.where("next is not null").limit(1).count():
             break
@@ -85,37 +89,109 @@ def numbered(stretches: DataFrame) -> DataFrame:
     return stretches.withColumns(ends)
 
 
+def heads(after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For places that point to the place after them (-1: none): the first place of the chain of each and how far it is.
+
+    A closed chain is cut before its least place.
+    """
+    n = len(after)
+    before = np.full(n, -1)
+    before[after[after >= 0]] = np.nonzero(after >= 0)[0]
+
+    def back() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        first, low = np.where(before < 0, np.arange(n), before), np.arange(n)
+        far = (before >= 0).astype(int)
+        for _ in range(n.bit_length()):
+            low, far, first = np.minimum(low, low[first]), far + far[first], first[first]
+        return first, far, low
+
+    first, far, low = back()
+    closed = before[first] >= 0
+    if closed.any():
+        before[low[closed]] = -1
+        first, far, _ = back()
+    return first, far
+
+
+def after_turn(steps: pd.DataFrame, begins: pd.DataFrame) -> pd.DataFrame:
+    """(i, j): which of begins follows a step round its patch; left turns first, then straight on."""
+    both = steps.merge(begins, left_on=["patch", "to"], right_on=["patch", "from"], suffixes=("", "2"))
+    turn = (both["way2"] - both["way"]) % 4  # 1: left, 0: straight on, 3: right
+    return both.assign(rank=np.where(turn == 1, 0, np.where(turn == 0, 1, 2))).sort_values(["i", "rank"]).drop_duplicates("i")
+
+
+def after_node(steps: pd.DataFrame, begins: pd.DataFrame) -> pd.DataFrame:
+    """(i, j): which of begins goes on between the same two patches; nothing does where other than two ends meet."""
+    vertex, ends = np.unique(np.concatenate([steps["to"], begins["from"]]), return_counts=True)
+    inner = begins[begins["from"].isin(vertex[ends == 2])]
+    keys = ["patch", "other", "alone"]
+    return steps.merge(inner, left_on=[*keys, "to"], right_on=[*keys, "from"], suffixes=("", "2"))
+
+
+def chained_steps(steps: DataFrame, follows: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]) -> DataFrame:
+    """steps (patch, other, x1, y1, x2, y2, way, from, to) with `chain`, a number, and `pos`, from 0.
+
+    follows(steps, begins) tells for steps that end on corners of a block, by their place i,
+    the place j of the step that begins there. A block gets the steps that begin or end in
+    it, finds what follows each, and turns stretches of a chain within it into one link.
+    Only the links between blocks are chained by pointer doubling. Directed steps have the
+    patch on the left, so a corner and a way are one step.
+    """
+    side = SIDE
+    home = [F.floor(F.col(c) / side) for c in ("x1", "y1", "x2", "y2")]
+    blocks = F.array_distinct(F.array(F.struct(home[0].alias("bx"), home[1].alias("by")), F.struct(home[2].alias("bx"), home[3].alias("by"))))
+    columns = ["patch", "other", "alone", "x1", "y1", "x2", "y2"]
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        begins_here, ends_here = ((pdf[x] // side == key[0]) & (pdf[y] // side == key[1]) for x, y in (("x1", "y1"), ("x2", "y2")))
+        pdf = pdf.assign(own=begins_here, ends=ends_here).sort_values(["own", "from", "way"], ascending=[False, True, True], ignore_index=True)
+        name, n = (pdf["from"].to_numpy() << 2) | pdf["way"].to_numpy(), int(pdf["own"].sum())
+        wanted, begins = pdf[pdf["ends"]], pdf[pdf["own"]]
+        found = follows(wanted.assign(i=wanted.index), begins.assign(j=begins.index))
+        i, j = found["i"].to_numpy(np.int64), found["j"].to_numpy(np.int64)
+        after = np.full(n, -1)
+        after[i[i < n]] = j[i < n]
+        first, far = heads(after)
+        members = pdf[columns].iloc[:n].assign(head=name[first], off=far)
+        tail = np.nonzero(~pdf["ends"].to_numpy()[:n])[0]  # what follows these is known where they end
+        runs = pd.DataFrame({"head": name[first[tail]], "off": far[tail] + 1, "id": name[tail]})
+        links = pd.DataFrame({"head": name[j[i >= n]], "id": name[i[i >= n]]})
+        whole = [f.reindex(columns=[*columns, "head", "off", "id"]).astype("Int64") for f in (members, runs, links)]  # numbers beyond a double's digits
+        return pd.concat([f.assign(kind=k) for k, f in enumerate(whole)])
+
+    known = steps.withColumns({"alone": F.col("other").isNull().cast("long"), "other": F.coalesce("other", F.lit(0).cast("long"))})
+    dealt = known.withColumn("b", F.explode(blocks)).select(*columns, "way", "from", "to", "b.bx", "b.by")
+    schema = ", ".join(f"{c} long" for c in (*columns, "head", "off", "id")) + ", kind int"
+    made = stored(dealt.groupBy("bx", "by").applyInPandas(run, schema))
+    into = made.where("kind = 2").select("id", F.col("head").alias("next"))
+    links = stored(made.where("kind = 1").select("id", F.col("head").alias("run"), F.col("off").alias("n")).join(into, "id").select(F.col("run").alias("id"), "next", "n"))
+    last = links.select(F.col("next").alias("id")).join(links.select("id"), "id", "left_anti").select("id", F.lit(None).cast("long").alias("next"), F.lit(0).cast("long").alias("n"))
+    order = chained(links.unionByName(last)).select(F.col("id").alias("head"), "chain", "pos")
+    placed = made.where("kind = 0").join(order, "head", "left")
+    other = F.when(F.col("alone") == 0, F.col("other")).alias("other")
+    return placed.select("patch", other, "x1", "y1", "x2", "y2", F.coalesce("chain", "head").alias("chain"), (F.coalesce("pos", F.lit(0)) + F.col("off")).alias("pos"))
+
+
 def rings(cells: DataFrame, patch: str = "patch") -> DataFrame:
-    """(patch, ring, pos, x, y): the corners of each patch's rings in order, outer ones anticlockwise and holes clockwise.
+    """(patch, ring, pos, x, y, x2, y2): the corners of each patch's rings in order and the ones after, outer ones anticlockwise and holes clockwise.
 
     A corner where a patch touches itself belongs to two passes; a pass turns left there if
     it can, so patches of four neighbours get rings that don't cross. Nothing of a ring is
     gathered: rings of any length are rows.
     """
-    steps = stored(numbered(sides(cells, patch)).select("patch", "x1", "y1", "x2", "y2", "from", "to", "way", F.monotonically_increasing_id().alias("id")))
-    turn = F.pmod(F.col("way2") - F.col("way"), F.lit(4))  # 1: left, 0: straight on, 3: right
-    begins = steps.select("patch", F.col("from").alias("to"), F.col("way").alias("way2"), F.col("id").alias("id2"))
-    follows = steps.join(begins, ["patch", "to"]).groupBy("id").agg(F.min_by("id2", F.when(turn == 1, 0).when(turn == 0, 1).otherwise(2)).alias("next"))
-    order = chained(follows)
-    return steps.join(order, "id").select("patch", F.col("chain").alias("ring"), "pos", F.col("x1").alias("x"), F.col("y1").alias("y"))
-
-
-def ring_sides(corners: DataFrame) -> DataFrame:
-    """corners (patch, ring, pos, x, y) with the corner after each, x2 and y2."""
-    n = corners.groupBy("patch", "ring").agg(F.count("*").alias("n"))
-    after = corners.join(n, ["patch", "ring"]).select("patch", "ring", F.pmod(F.col("pos") - 1, F.col("n")).alias("pos"), F.col("x").alias("x2"), F.col("y").alias("y2"))
-    return corners.join(after, ["patch", "ring", "pos"])
+    steps = chained_steps(numbered(sides(cells, patch)), after_turn)
+    return steps.select("patch", F.col("chain").alias("ring"), "pos", F.col("x1").alias("x"), F.col("y1").alias("y"), "x2", "y2")
 
 
 def ring_sizes(corners: DataFrame) -> DataFrame:
     """(patch, ring, area): the signed area of each ring."""
     cross = F.col("x") * F.col("y2") - F.col("x2") * F.col("y")
-    return ring_sides(corners).groupBy("patch", "ring").agg((F.sum(cross) / 2).alias("area"))
+    return corners.groupBy("patch", "ring").agg((F.sum(cross) / 2).alias("area"))
 
 
 def ring_lengths(corners: DataFrame) -> DataFrame:
     """(patch, ring, length): sides are along the axes."""
-    return ring_sides(corners).groupBy("patch", "ring").agg(F.sum(F.abs(F.col("x2") - F.col("x")) + F.abs(F.col("y2") - F.col("y"))).alias("length"))
+    return corners.groupBy("patch", "ring").agg(F.sum(F.abs(F.col("x2") - F.col("x")) + F.abs(F.col("y2") - F.col("y"))).alias("length"))
 
 
 def arcs(cells: DataFrame, patch: str = "patch") -> DataFrame:
@@ -124,15 +200,8 @@ def arcs(cells: DataFrame, patch: str = "patch") -> DataFrame:
     Nodes are corners where other than two stretches of border meet. An arc without nodes is
     closed: its last point is its first. left is the lesser patch; right is null off the grid.
     """
-    every = stored(numbered(sides(cells, patch)))
-    once = every.where("other is null or patch < other")
-    ends = F.explode(F.array("from", "to")).alias("v")
-    nodes = stored(once.select(ends).groupBy("v").count().where("count != 2").select("v"))
-    steps = stored(once.withColumn("id", F.monotonically_increasing_id()))
-    begins = steps.select("patch", "other", F.col("from").alias("to"), F.col("id").alias("next")).join(nodes, F.col("to") == F.col("v"), "left_anti")
-    same = (F.col("s.patch") == F.col("b.patch")) & F.col("s.other").eqNullSafe(F.col("b.other")) & (F.col("s.to") == F.col("b.to"))
-    order = chained(steps.alias("s").join(begins.alias("b"), same, "left").select("s.id", "b.next"))
-    placed = stored(steps.join(order, "id"))
+    once = numbered(sides(cells, patch)).where("other is null or patch < other")
+    placed = stored(numbered(chained_steps(once, after_node)))
     first, last = (placed.groupBy("chain").agg(f(c, "pos").alias(c)) for f, c in ((F.min_by, "from"), (F.max_by, "to")))
     closed = first.join(last, "chain").select("chain", (F.col("from") == F.col("to")).alias("closed"))
     final = placed.groupBy("chain").agg(*(F.max_by(c, "pos").alias(c) for c in ("patch", "other", "x2", "y2")), (F.max("pos") + 1).alias("pos"))

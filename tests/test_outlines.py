@@ -72,3 +72,30 @@ def test_kept_corners():
     x, y = np.array([0, 1, 2, 3, 4, 5.0]), np.array([0, 0.4, 0, 3, 0, 0])
     assert op.kept_corners(x, y, 0.5).tolist() == [True, False, True, True, True, True]
     assert op.kept_corners(x, y, 5).tolist() == [True] + [False] * 4 + [True]
+
+
+def test_chains_across_blocks(spark, monkeypatch):
+    """Blocks of two cells a side give the same rings and arcs as one block, also where numbers have over 53 bits."""
+    far = 1 << 23
+    cells = cells_of(spark, MAPS[1]).select("x", (F.col("y") + far).alias("y"), "label")
+    named = patches.patches(cells, eight=False).cache()
+
+    def around(rows, key):
+        out = {}
+        for r in sorted(rows, key=lambda r: r.pos):
+            out.setdefault(r[key], []).append((r.x, r.y - far))
+        turned = [tuple(c[c.index(min(c)) :] + c[: c.index(min(c))]) if key == "ring" else tuple(c) for c in out.values()]
+        return sorted(turned)
+
+    whole = around(op.rings(named).collect(), "ring"), {r.patch: r.area for r in op.patch_areas(op.arcs(named)).collect()}
+    monkeypatch.setattr(op, "SIDE", 2)
+    assert (around(op.rings(named).collect(), "ring"), {r.patch: r.area for r in op.patch_areas(op.arcs(named)).collect()}) == whole
+    assert len(whole[0]) == 5 and all(abs(whole[1][p]) == n for p, n in ((r.patch, r["count"]) for r in named.groupBy("patch").count().collect()))
+
+
+def test_rounds_chain_blocks_only(spark, monkeypatch):
+    """What is chained by rounds are links between blocks: none on a map within one."""
+    asked, chained = [], op.chained
+    monkeypatch.setattr(op, "chained", lambda links, *a: asked.append(links.count()) or chained(links, *a))
+    named = patches.patches(cells_of(spark, MAPS[1]), eight=False)
+    assert op.rings(named).count() and op.arcs(named).count() and asked == [0, 0]
