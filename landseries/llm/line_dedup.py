@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landseries.llm.common import bucketed, fresh, staged
+from landseries.llm.common import bucketed, fresh, split_by_keys, staged
 from landseries.llm.tokens import batches_of, mix, word_hashes
 
 #: Words are counted by hash in this many buckets, a table of fixed size.
@@ -120,18 +120,99 @@ def order_keys(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return counts[words & np.uint32(BUCKETS - 1)].astype(np.int64) << 32 | words
 
 
+def lanes_of(size: np.ndarray) -> np.ndarray:
+    """How many numbers of 64 parities the sets of these sizes have: random sets differ in far more bins than similar ones may."""
+    return np.where(size <= 80, 1, np.where(size <= 200, 2, 4))
+
+
+def parities(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The parities of the words of sets in 64 bins a lane, for each set four numbers of which those beyond its lanes are 0.
+
+    Lanes of a larger set fold by exclusive or into those of a smaller one.
+    """
+    out = np.zeros((len(sizes), 4), np.uint64)
+    spread = mix(words.astype(np.uint64))
+    bit = np.uint64(1) << (spread & np.uint64(63))
+    out[:, 0] = np.bitwise_xor.reduceat(bit, starts)
+    lanes = lanes_of(sizes)
+    for n in (2, 4):
+        some = np.nonzero(lanes == n)[0]
+        if len(some):
+            own = np.repeat(lanes == n, sizes)
+            bits_, lane, size = bit[own], spread[own] >> np.uint64(6) & np.uint64(n - 1), sizes[some]
+            for k in range(n):
+                out[some, k] = np.bitwise_xor.reduceat(np.where(lane == k, bits_, np.uint64(0)), np.cumsum(size) - size)
+    return out
+
+
+ROW = pa.schema([("key", pa.int64()), ("sig", pa.int64()), ("place", pa.int64()), *((f"m{k}", pa.int64()) for k in range(4))])
+
+
+def planes(x: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones and so on, which compress better."""
+    return np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def dealt(rows: tuple[np.ndarray, ...], buckets: int) -> pa.RecordBatch:
+    """(bucket, n, packed): rows (key, sig, place, maps) by a hash of their key, column by column, compressed."""
+    key, sig, place, maps = rows
+    order = np.argsort(key, kind="stable")
+    bucket = (mix(key[order].view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+    by = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+    bucket, order = bucket[by], order[by]
+    key, sig, place, maps = key[order], sig[order], place[order], maps[order]
+    used = np.arange(4) < lanes_of(place >> 32)[:, None]
+    first = np.nonzero(np.diff(bucket, prepend=-1))[0]
+    packed = []
+    for i, j in zip(first, np.append(first, len(bucket))[1:], strict=False):
+        raw = planes(np.diff(key[i:j], prepend=0)) + planes(place[i:j]) + sig[i:j].tobytes() + maps[i:j][used[i:j]].tobytes()
+        packed.append(len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True))
+    n = np.diff(np.append(first, len(bucket))).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array(n), pa.array(packed, pa.binary())], ["bucket", "n", "packed"])
+
+
+def undealt(n: int, packed: bytes) -> tuple[np.ndarray, ...]:
+    raw = np.frombuffer(pa.decompress(packed[8:], decompressed_size=int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True), np.uint8)
+    key, place = (np.ascontiguousarray(raw[8 * n * k : 8 * n * (k + 1)].reshape(8, n).T).view(np.int64).ravel() for k in (0, 1))
+    maps = np.zeros((n, 4), np.uint64)
+    maps[np.arange(4) < lanes_of(place >> 32)[:, None]] = raw[24 * n :].view(np.uint64)
+    return np.cumsum(key), raw[16 * n : 24 * n].view(np.int64), place, maps
+
+
+DEALT = "bucket int, n int, packed binary"
+
+
+def dealt_rows(parts: Iterator[tuple[np.ndarray, ...]], buckets: int, rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of many parts, dealt about `rows` at once."""
+    held, n = [], 0
+    for part in parts:
+        held.append(part)
+        n += len(part[0])
+        if n >= rows:
+            yield dealt(tuple(map(np.concatenate, zip(*held, strict=True))), buckets)
+            held, n = [], 0
+    if n:
+        yield dealt(tuple(map(np.concatenate, zip(*held, strict=True))), buckets)
+
+
+def buckets_of(df: DataFrame) -> int:
+    return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def prefix_rows(classes: DataFrame, counts, similarity: float, common: bool) -> DataFrame:
-    """(key, sig, place, bits): each class's rarest words, as many as the prefix filter needs.
+    """(key, sig, place, m0 .. m3): each class's rarest words, as many as the prefix filter needs.
 
     Sets that share at least o = ceil(similarity * size) words share one among the first
     size - o + 1 of each under any common order; rarest first makes for few partners. A word
     alone in its bucket is in one class only and has no partner to meet. place holds the set's
-    size and the word's position; bits holds the parities of the set's words in 64 bins: common
+    size and the word's position; m0 .. m3 hold the parities of the set's words in bins: common
     words cancel, so at most as many bits differ as two sets have words apart, however large
-    the sets. common: the words that more than COMMON classes hold, or the others.
+    the sets. common: the words that more than COMMON classes hold, or the others, whose rows
+    come dealt and packed.
     """
+    buckets = buckets_of(classes)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         for b in (b.slice(at, 1 << 15) for b in batches for at in range(0, len(b), 1 << 15)):
             sizes = b["size"].to_numpy().astype(np.int64)
             words = numbers_of(b["words"])
@@ -145,12 +226,30 @@ def prefix_rows(classes: DataFrame, counts, similarity: float, common: bool) ->
             keep = (pos < need[row]) & ((rank > COMMON) if common else (rank > 1) & (rank <= COMMON))
             if not keep.any():
                 continue
-            maps = np.bitwise_xor.reduceat(np.uint64(1) << (mix(words.astype(np.uint64)) & np.uint64(63)), starts)
+            maps = parities(words, starts, sizes)
             row, pos, key = row[keep], pos[keep], key[keep]
-            columns = (key, b["sig"].to_numpy()[row], sizes[row] << 32 | pos, maps[row].view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "sig", "place", "bits"])
+            yield key, b["sig"].to_numpy()[row], sizes[row] << 32 | pos, maps[row]
 
-    return classes.select("sig", "size", "words").mapInArrow(run, "key long, sig long, place long, bits long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not common:
+            yield from dealt_rows(rows(batches), buckets)
+            return
+        for *columns, maps in rows(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, *np.ascontiguousarray(maps.T).view(np.int64))], schema=ROW)
+
+    kind = "key long, sig long, place long, m0 long, m1 long, m2 long, m3 long" if common else DEALT
+    return classes.select("sig", "size", "words").mapInArrow(run, kind)
+
+
+def packed_rows(rows: DataFrame) -> DataFrame:
+    """Rows of prefix_rows with common=True, dealt and packed as the others."""
+    buckets = buckets_of(rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = ([b[c].to_numpy() for c in ROW.names] for b in batches if len(b))
+        yield from dealt_rows(((*c[:3], np.stack(c[3:], 1).view(np.uint64)) for c in columns), buckets)
+
+    return rows.select(*ROW.names).mapInArrow(run, DEALT)
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
@@ -194,26 +293,35 @@ def members(index: DataFrame, similarity: float) -> DataFrame:
     common, neither has the other before, so neither drops it.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches, 1 << 17):
-            key, sig, place, bits = (t[c].to_numpy() for c in ("key", "sig", "place", "bits"))
-            size, names, bits = place >> 32, mix(sig.view(np.uint64)), bits.view(np.uint64)  # numpy counts the bits of absolute values
-            rest = size - (place & 0xFFFFFFFF)
-            partners, some = np.zeros(len(key), np.uint64), np.zeros(len(key), bool)
-            for a, b in neighbours(key, size, similarity):
-                both = size[a] + size[b]
-                needed = similarity / (1 + similarity) * both - 1e-9  # the least number of common words
-                apart = np.bitwise_count(bits[a] ^ bits[b])
-                ok = (np.minimum(rest[a], rest[b]) >= needed) & ((both - apart) / 2 >= needed)
-                a, b = a[ok], b[ok]
-                partners[a] += names[b]
-                partners[b] += names[a]
-                some[a] = some[b] = True
-            if some.any():
-                columns = {"sig": sig[some], "key": key[some], "partners": partners[some].view(np.int64)}
-                yield pa.RecordBatch.from_pydict({c: pa.array(v) for c, v in columns.items()})
-
-    found = index.repartition("key").sortWithinPartitions("key", "place").mapInArrow(run, "sig long, key long, partners long")
+    def compared(key: np.ndarray, sig: np.ndarray, place: np.ndarray, maps: np.ndarray) -> pa.RecordBatch:
+        size, names = place >> 32, mix(sig.view(np.uint64))
+        rest, lanes = size - (place & 0xFFFFFFFF), lanes_of(size)
+        pairs_ = np.where((lanes == 4)[:, None], maps[:, :2] ^ maps[:, 2:], maps[:, :2])
+        folded = [np.bitwise_xor.reduce(maps, axis=1)[:, None], pairs_, maps]  # for one lane, two and four
+        partners, some = np.zeros(len(key), np.uint64), np.zeros(len(key), bool)
+        for a, b in neighbours(key, size, similarity):
+            needed = similarity / (1 + similarity) * (size[a] + size[b]) - 1e-9  # the least number of common words
+            ok = np.minimum(rest[a], rest[b]) >= needed
+            a, b, needed = a[ok], b[ok], needed[ok]
+            for n, bits in zip((1, 2, 4), folded, strict=True):
+                apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+                ok = ((size[a] + size[b] - apart) / 2 >= needed) | (np.minimum(lanes[a], lanes[b]) < n)
+                a, b, needed = a[ok], b[ok], needed[ok]
+            partners[a] += names[b]
+            partners[b] += names[a]
+            some[a] = some[b] = True
+        columns = {"sig": sig[some], "key": key[some], "partners": partners[some].view(np.int64)}
+        return pa.RecordBatch.from_pydict({c: pa.array(v) for c, v in columns.items()})
+
+    def run(t: pa.Table) -> pa.Table:
+        parts = [undealt(n, p) for n, p in zip(t["n"].to_pylist(), t["packed"].to_pylist(), strict=True)]
+        key, sig, place, maps = map(np.concatenate, zip(*parts, strict=True))
+        order = np.lexsort((place, key))
+        key = key[order]
+        cuts = np.unique(np.append(np.searchsorted(key, key[:: 1 << 17]), len(key)))  # no key is split
+        return pa.Table.from_batches([compared(key[i:j], sig[order[i:j]], place[order[i:j]], maps[order[i:j]]) for i, j in zip(cuts, cuts[1:], strict=False)])
+
+    found = index.groupBy("bucket").applyInArrow(run, "sig long, key long, partners long")
     return found.repartition("sig").groupBy("sig", "partners").agg(F.min("key").alias("key")).select("sig", "key")
 
 
@@ -338,7 +446,7 @@ def matched_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     counts = docs.sparkSession.sparkContext.broadcast(word_counts(classes))
     busy = staged(prefix_rows(classes, counts, similarity, common=True))
     crowds = staged(busy.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > COMMON))
-    index = prefix_rows(classes, counts, similarity, common=False).unionByName(busy.join(crowds, "key", "left_anti"))
+    index = prefix_rows(classes, counts, similarity, common=False).unionByName(packed_rows(busy.join(crowds, "key", "left_anti")))
     linked = links_in_groups(classes, index, counts, similarity).unionByName(
         links_in_tiles(classes, busy.select("key", "sig").join(crowds, "key"), counts, similarity)
     )
@@ -362,9 +470,10 @@ def remove_later(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     same lines; an empty table stays empty.
     """
     id_, gone = fresh(docs, "id"), fresh(docs, "gone")
-    later = matched_lines(docs.select("doc_id", "text"), similarity).where("removed").distinct().groupBy(F.col("doc_id").alias(id_))
+    later = matched_lines(docs.select("doc_id", "text"), similarity).where("removed").groupBy("doc_id")
     later = staged(later.agg(F.collect_set("line_no").alias(gone)))  # bounded by a text's lines
-    later = later.hint("merge")  # it grows with the texts and is never broadcast
+    docs, whole = split_by_keys(docs, later, ["doc_id"])
+    later = later.withColumnRenamed("doc_id", id_).hint("merge")  # it grows with the texts and is never broadcast
     # the index of a line among all lines of its text
     kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains(gone, i))
     hit = F.col(gone).isNotNull()
@@ -372,4 +481,4 @@ def remove_later(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     out = out.where(~hit | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(hit, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.drop(id_, gone)
+    return out.drop(id_, gone).unionByName(whole)
