@@ -270,9 +270,10 @@ def read_tokens(bits: Bits, codes: list[Prefix], width: int, total: int, step: i
         if green.symbol.max() >= 256:
             to = to.copy() if to is after else to
             s = symbols(green, np.arange(8 * size))
-            other = np.nonzero(s >= 280)[0]
-            to[other] = after[other]
-            other = np.nonzero((s >= 256) & (s < 280))[0]
+            other = np.nonzero(s >= 256)[0]
+            if green.symbol.max() >= 280:
+                to[other] = after[other]  # of cache entries
+                other = other[s[other] < 280]
             at = numbers(s[other] - 256, after[other], window)[1]
             to[other] = numbers(symbols(dist, at), behind(dist, at), window)[1]
         follow, at, chain, limit = memoryview(to), shift, [], 8 * size
@@ -283,7 +284,7 @@ def read_tokens(bits: Bits, codes: list[Prefix], width: int, total: int, step: i
                 break
             append(at)
             at = follow[at]
-        took = np.array(chain)
+        took = np.fromiter(chain, np.int64, len(chain))
         s = symbols(green, took)
         kind = np.where(s < 256, 0, np.where(s < 280, 1, 2))
         sizes, value, copy = np.ones(len(took), np.int64), s - 280, np.nonzero(kind == 1)[0]
@@ -504,7 +505,7 @@ def decode(data: bytes) -> np.ndarray:
     pixels = read_image(bits, now, height, main=True)
     for f, *more in reversed(undo):
         pixels = f(pixels, *more)
-    return np.stack([pixels >> s & 255 for s in (16, 8, 0, 24)], 2).astype(np.uint8)
+    return pixels.astype("<u4").view(np.uint8).reshape(height, width, 4)[:, :, [2, 1, 0, 3]]
 
 
 def container(stream: bytes) -> bytes:
@@ -607,8 +608,10 @@ def copies_in(pixels: np.ndarray) -> list[tuple[int, int, int]]:
     key = np.zeros(n, np.uint64)
     for k in range(LEAST_COPY):
         key = key * np.uint64(0x9E3779B97F4A7C15) + pixels[k : k + n].astype(np.uint64)
-    order = np.argsort(key, kind="stable")
-    same = key[order[1:]] == key[order[:-1]]
+    low = np.uint64((1 << n.bit_length()) - 1)
+    both = np.sort((key * np.uint64(0x9E3779B97F4A7C15) & ~low) | np.arange(n, dtype=np.uint64))  # by key, then place
+    order = (both & low).astype(np.int64)
+    same = (both[1:] ^ both[:-1]) <= low
     if not same.any():
         return []
     before = np.full(n, -1)
@@ -652,6 +655,21 @@ def entropy(counts: np.ndarray) -> float:
     return float(total * np.log2(max(total, 1)) - (c * np.log2(c)).sum() + (4.5 * len(c) if len(c) > 1 else 0))
 
 
+def joined(value: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """The bits of all numbers, row by row; a row has at most 64."""
+    size = np.cumsum(bits, axis=1)
+    row = np.bitwise_or.reduce(value << (size - bits), axis=1).view(np.uint64)
+    ends = np.cumsum(size[:, -1])
+    total = int(ends[-1])
+    start = ends - size[:, -1]
+    place, shift = start >> 6, (start & 63).astype(np.uint64)
+    words = np.zeros((total >> 6) + 2, np.uint64)
+    first = np.nonzero(np.diff(place, prepend=-1))[0]
+    words[place[first]] = np.bitwise_or.reduceat(row << shift, first)
+    words[place[first] + 1] |= np.bitwise_or.reduceat(row >> np.uint64(1) >> (np.uint64(63) - shift), first)  # what goes over the edge
+    return np.unpackbits(words.astype("<u8").view(np.uint8), bitorder="little", count=total)
+
+
 def write_image(w: Writer, pixels: np.ndarray, main: bool) -> np.ndarray:
     """The bits of an entropy-coded image after what w holds: with or without a colour cache, whichever is shorter."""
     found = copies_in(pixels) if main else []
@@ -718,13 +736,7 @@ def write_image(w: Writer, pixels: np.ndarray, main: bool) -> np.ndarray:
         value[of_copy, 1], bits[of_copy, 1] = length_bits, length_extra
         value[of_copy, 2], bits[of_copy, 2] = codes[4][dist], sizes[4][dist]
         value[of_copy, 3], bits[of_copy, 3] = dist_bits, dist_extra
-    value, bits = value.ravel(), bits.ravel()
-    parts = [w.bits()]
-    for i in range(0, len(value), 1 << 17):
-        v, b = value[i : i + (1 << 17)], bits[i : i + (1 << 17)]
-        ends = np.cumsum(b)
-        parts.append(((np.repeat(v, b) >> (np.arange(ends[-1]) - np.repeat(ends - b, b))) & 1).astype(np.uint8))
-    return np.concatenate(parts)
+    return np.concatenate([w.bits(), joined(value, bits)])
 
 
 def encode(samples: np.ndarray) -> bytes:
@@ -745,7 +757,8 @@ def encode(samples: np.ndarray) -> bytes:
     less_green = pixels & 0xFF00FF00 | ((pixels >> 16) - green & 255) << 16 | (pixels - green & 255)
     options = [(cost(pixels), 0), (cost(less_green), 1)]
     some = pixels.ravel()[:512]
-    colours = np.unique(some)
+    colours = np.sort(some)
+    colours = colours[np.diff(colours, prepend=-1) > 0]
     colours = np.unique(pixels) if len(colours) <= 256 and pixels.size > some.size else colours
     if len(colours) <= 256:
         options.append((20 * len(colours) + pixels.size * np.log2(len(colours) + 1), 3))
