@@ -16,8 +16,12 @@ from landseries.llm.tokens import batches_of, mix, word_hashes
 
 #: Words are counted by hash in this many buckets, a table of fixed size.
 BUCKETS, CHUNK = 1 << 23, 1 << 15
-#: Groups of more classes than this are compared in tiles.
+#: Groups of more classes with partners than this are compared in tiles.
 COMMON = 1000
+#: Prefix rows of one word that a task compares; of more, each task compares two parts.
+CROWD = 1 << 15
+#: Rows of a key are compared in blocks if they are more than this.
+FEW = 1500
 
 
 def line_sets(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -207,10 +211,10 @@ def prefix_rows(classes: DataFrame, counts, similarity: float, common: bool) ->
     alone in its bucket is in one class only and has no partner to meet. place holds the set's
     size and the word's position; m0 .. m3 hold the parities of the set's words in bins: common
     words cancel, so at most as many bits differ as two sets have words apart, however large
-    the sets. common: the words that more than COMMON classes hold, or the others, whose rows
+    the sets. common: the words that more than CROWD classes hold, or the others, whose rows
     come dealt and packed.
     """
-    buckets = buckets_of(classes)
+    buckets, most = buckets_of(classes), CROWD
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         for b in (b.slice(at, 1 << 15) for b in batches for at in range(0, len(b), 1 << 15)):
@@ -223,7 +227,7 @@ def prefix_rows(classes: DataFrame, counts, similarity: float, common: bool) ->
             pos = np.arange(len(words)) - starts[row]
             need = sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1
             rank = key >> 32
-            keep = (pos < need[row]) & ((rank > COMMON) if common else (rank > 1) & (rank <= COMMON))
+            keep = (pos < need[row]) & ((rank > most) if common else (rank > 1) & (rank <= most))
             if not keep.any():
                 continue
             maps = parities(words, starts, sizes)
@@ -274,44 +278,95 @@ def neighbours(key: np.ndarray, size: np.ndarray, similarity: float) -> Iterator
 
     Each step pairs rows with those d places on, so a row occurs once on either side of a step.
     """
+    if not len(key):
+        return
+    most = int(size.max())
+    base = np.cumsum(np.diff(key, prepend=key[0]) != 0) * (most + 1)
+    last = np.searchsorted(base + size, base + np.minimum((size + 1e-9) / similarity, most).astype(np.int64), "right") - 1
     a, d = np.arange(len(key)), 0
     while True:
         d += 1
-        a = a[a + d < len(key)]
-        a = a[(key[a] == key[a + d]) & (size[a] >= size[a + d] * similarity - 1e-9)]
+        a = a[last[a] - a >= d]
         if not len(a):
             return
         yield a, a + d
 
 
-def members(index: DataFrame, similarity: float) -> DataFrame:
-    """(sig, key): under which keys each class must be compared to find all its links.
+def most_apart(both: np.ndarray, similarity: float) -> np.ndarray:
+    """In how many words two sets of so many words together may differ."""
+    return np.floor(both * (1 - similarity) / (1 + similarity) + 1e-6).astype(np.int16)
 
-    Within a key's group, at most COMMON classes, pairs pass the length, positional and parity
-    filters or go. A class is left with the keys under which it has partners; of several with
-    the same partners the first, which is enough: under the first key that two classes have in
-    common, neither has the other before, so neither drops it.
-    """
 
-    def compared(key: np.ndarray, sig: np.ndarray, place: np.ndarray, maps: np.ndarray) -> pa.RecordBatch:
-        size, names = place >> 32, mix(sig.view(np.uint64))
-        rest, lanes = size - (place & 0xFFFFFFFF), lanes_of(size)
-        pairs_ = np.where((lanes == 4)[:, None], maps[:, :2] ^ maps[:, 2:], maps[:, :2])
-        folded = [np.bitwise_xor.reduce(maps, axis=1)[:, None], pairs_, maps]  # for one lane, two and four
-        partners, some = np.zeros(len(key), np.uint64), np.zeros(len(key), bool)
-        for a, b in neighbours(key, size, similarity):
-            needed = similarity / (1 + similarity) * (size[a] + size[b]) - 1e-9  # the least number of common words
-            ok = np.minimum(rest[a], rest[b]) >= needed
+def blocks(size: np.ndarray, folded: dict[int, np.ndarray], similarity: float, block: int = 256, wide: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (a, b) of rows in the order of size: all that the length filter and the parities may leave, and few others.
+
+    Rows of about one size are compared as a block, by as many parities as the smallest has.
+    """
+    lanes, i = lanes_of(size), 0
+    while i < len(size):
+        k = min(i + block, int(np.searchsorted(size, size[i] * 1.05, "right")))
+        high = int(np.searchsorted(size * similarity - 1e-9, size[k - 1], "right"))
+        maps = folded[int(lanes[i])]
+        for j in range(i, high, wide):
+            l = min(j + wide, high)
+            apart = np.bitwise_count(maps[i:k, None, 0] ^ maps[None, j:l, 0])
+            for m in range(1, maps.shape[1]):
+                apart = apart + np.bitwise_count(maps[i:k, None, m] ^ maps[None, j:l, m]).astype(np.int16)
+            a, b = np.nonzero(apart <= most_apart(size[k - 1] + size[j:l], similarity).astype(np.uint8 if maps.shape[1] == 1 else np.int16))
+            a, b = a + i, b + j
+            yield a[a < b], b[a < b]
+        i = k
+
+
+def compared(key: np.ndarray, sig: np.ndarray, place: np.ndarray, maps: np.ndarray, similarity: float, own: np.ndarray | None = None) -> pa.RecordBatch:
+    """(sig, key, partners) of the rows, in the order of key and place, that have a partner under their key; own: of another part only."""
+    size, names = place >> 32, mix(sig.view(np.uint64))
+    rest, lanes = size - (place & 0xFFFFFFFF), lanes_of(size)
+    pairs_ = np.where((lanes == 4)[:, None], maps[:, :2] ^ maps[:, 2:], maps[:, :2])
+    folded = {1: np.bitwise_xor.reduce(maps, axis=1)[:, None], 2: pairs_, 4: maps}
+    partners, some = np.zeros(len(key), np.uint64), np.zeros(len(key), bool)
+
+    one, limit = np.ascontiguousarray(folded[1][:, 0]), most_apart(np.arange(2 * int(size.max(initial=0)) + 1), similarity)
+
+    def settle(a: np.ndarray, b: np.ndarray) -> None:
+        ok = np.bitwise_count(one[a] ^ one[b]) <= limit[size[a] + size[b]]
+        a, b = a[ok], b[ok]
+        needed = similarity / (1 + similarity) * (size[a] + size[b]) - 1e-9  # the least number of common words
+        ok = (np.minimum(rest[a], rest[b]) >= needed) & (size[a] >= size[b] * similarity - 1e-9)
+        if own is not None:
+            ok &= own[a] != own[b]
+        a, b, needed = a[ok], b[ok], needed[ok]
+        for n, bits in folded.items():
+            apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+            ok = ((size[a] + size[b] - apart) / 2 >= needed) | (np.minimum(lanes[a], lanes[b]) < n)
             a, b, needed = a[ok], b[ok], needed[ok]
-            for n, bits in zip((1, 2, 4), folded, strict=True):
-                apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
-                ok = ((size[a] + size[b] - apart) / 2 >= needed) | (np.minimum(lanes[a], lanes[b]) < n)
-                a, b, needed = a[ok], b[ok], needed[ok]
-            partners[a] += names[b]
-            partners[b] += names[a]
-            some[a] = some[b] = True
-        columns = {"sig": sig[some], "key": key[some], "partners": partners[some].view(np.int64)}
-        return pa.RecordBatch.from_pydict({c: pa.array(v) for c, v in columns.items()})
+        np.add.at(partners, a, names[b])
+        np.add.at(partners, b, names[a])
+        some[a] = some[b] = True
+
+    first = np.nonzero(np.diff(key, prepend=key[:1] - 1))[0]
+    n = np.diff(np.append(first, len(key)))
+    few = np.nonzero(np.repeat(n <= FEW, n))[0]
+    for a, b in neighbours(key[few], size[few], similarity):
+        settle(few[a], few[b])
+    for i, k in zip(first[n > FEW].tolist(), n[n > FEW].tolist(), strict=True):
+        for a, b in blocks(size[i : i + k], {m: x[i : i + k] for m, x in folded.items()}, similarity):
+            if len(a):
+                settle(a + i, b + i)
+    columns = {"sig": sig[some], "key": key[some], "partners": partners[some].view(np.int64)}
+    return pa.RecordBatch.from_pydict({c: pa.array(v) for c, v in columns.items()})
+
+
+def members(index: DataFrame, similarity: float, crowded: DataFrame | None = None) -> DataFrame:
+    """(sig, key): under which keys each class must be compared to find all its links.
+
+    Within a key's group pairs pass the length, positional and parity filters or go. A class
+    is left with the keys under which it has partners; of several with the same partners the
+    first, which is enough: under the first key that two classes have in common, neither has
+    the other before, so neither drops it. crowded: rows of prefix_rows with common=True and
+    the number n of their key's, which are compared in parts, two to a task.
+    """
+    kind = "sig long, key long, partners long"
 
     def run(t: pa.Table) -> pa.Table:
         parts = [undealt(n, p) for n, p in zip(t["n"].to_pylist(), t["packed"].to_pylist(), strict=True)]
@@ -319,20 +374,41 @@ def members(index: DataFrame, similarity: float) -> DataFrame:
         order = np.lexsort((place, key))
         key = key[order]
         cuts = np.unique(np.append(np.searchsorted(key, key[:: 1 << 17]), len(key)))  # no key is split
-        return pa.Table.from_batches([compared(key[i:j], sig[order[i:j]], place[order[i:j]], maps[order[i:j]]) for i, j in zip(cuts, cuts[1:], strict=False)])
-
-    found = index.groupBy("bucket").applyInArrow(run, "sig long, key long, partners long")
+        return pa.Table.from_batches([compared(key[i:j], sig[order[i:j]], place[order[i:j]], maps[order[i:j]], similarity) for i, j in zip(cuts, cuts[1:], strict=False)])
+
+    def run_parts(t: pa.Table) -> pa.Table:
+        t = t.sort_by("place")
+        own, key, sig, place, *maps = (t[c].to_numpy() for c in ("own", *ROW.names))
+        same = bool(t["ti"][0] == t["tj"][0])
+        return pa.Table.from_batches([compared(key, sig, place, np.stack(maps, 1).view(np.uint64), similarity, None if same else own)])
+
+    found = index.groupBy("bucket").applyInArrow(run, kind)
+    if crowded is not None:
+        parts = in_tiles(crowded, CROWD // 2).groupBy("key", "ti", "tj").applyInArrow(run_parts, kind)
+        found = found.unionByName(parts.groupBy("sig", "key").agg(F.bit_xor("partners").alias("partners")))
     return found.repartition("sig").groupBy("sig", "partners").agg(F.min("key").alias("key")).select("sig", "key")
 
 
+def in_tiles(rows: DataFrame, tile: int) -> DataFrame:
+    """rows (key, sig, n, ..) of keys of n rows dealt into tiles: once for each pair (ti, tj) of tiles that theirs, own, is one of."""
+    return (
+        rows.withColumn("tiles", F.ceil(F.col("n") / tile).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64("sig"), F.col("tiles")).cast("int"))
+        .withColumn("k", F.explode(F.expr("sequence(0, tiles - 1)")))
+        .withColumn("ti", F.least("own", "k"))
+        .withColumn("tj", F.greatest("own", "k"))
+        .drop("n", "tiles", "k")
+    )
+
+
 def stretches(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """The stretches of data that belong to rows, one after the other."""
     n = sizes[rows]
     return data[np.repeat(starts[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
 
 
-def links_in_groups(classes: DataFrame, index: DataFrame, counts, similarity: float, words_at_once: int = 1 << 21) -> DataFrame:
-    """(sig, other, more): per class and key, the links whose first common word is the key, a key of the index.
+def links_in_groups(classes: DataFrame, found: DataFrame, counts, similarity: float, words_at_once: int = 1 << 21) -> DataFrame:
+    """(sig, other, more): per class and key of found (sig, key), the links whose first common word is the key.
 
     Pairs live in numpy arrays of a task only; each group gives sums and minima for its classes.
     """
@@ -382,7 +458,7 @@ def links_in_groups(classes: DataFrame, index: DataFrame, counts, similarity: fl
             other = order[oldest[some]]
             yield pa.RecordBatch.from_pydict({"sig": pa.array(sig[some]), "doc_id": pa.array(doc[other]), "line_no": pa.array(line[other]), "more": pa.array(more[some])})
 
-    full = members(index, similarity).join(classes.select("sig", "first.doc_id", "first.line_no", "copies", "size", "words"), "sig")
+    full = found.join(classes.select("sig", "first.doc_id", "first.line_no", "copies", "size", "words"), "sig")
     ready = full.select("key", "sig", "doc_id", "line_no", "copies", "size", "words").repartition("key").sortWithinPartitions("key", "size")
     found = ready.mapInArrow(verify, "sig long, doc_id long, line_no int, more long")
     return found.select("sig", F.struct("doc_id", "line_no").alias("other"), "more")
@@ -394,13 +470,7 @@ def links_in_tiles(classes: DataFrame, crowded: DataFrame, counts, similarity: f
     Groups of any size are dealt into tiles; a task compares two tiles by matrix products
     over their words and returns sums and minima for each class, never the pairs.
     """
-    dealt = (
-        crowded.withColumn("tiles", F.ceil(F.col("n") / tile).cast("int"))
-        .withColumn("own", F.pmod(F.xxhash64("sig"), F.col("tiles")).cast("int"))
-        .withColumn("k", F.explode(F.expr("sequence(0, tiles - 1)")))
-        .select("key", F.least("own", "k").alias("ti"), F.greatest("own", "k").alias("tj"), "own", "sig")
-        .join(classes.select("sig", "first.doc_id", "first.line_no", "copies", "words"), "sig")
-    )
+    dealt = in_tiles(crowded, tile).join(classes.select("sig", "first.doc_id", "first.line_no", "copies", "words"), "sig")
 
     def compare(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         key, ti, tj = (int(v) for v in group)
@@ -445,10 +515,12 @@ def matched_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     classes = bucketed(classes_of(docs), "sig")  # the word sets are never shuffled again
     counts = docs.sparkSession.sparkContext.broadcast(word_counts(classes))
     busy = staged(prefix_rows(classes, counts, similarity, common=True))
-    crowds = staged(busy.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > COMMON))
+    crowds = staged(busy.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD))
     index = prefix_rows(classes, counts, similarity, common=False).unionByName(packed_rows(busy.join(crowds, "key", "left_anti")))
-    linked = links_in_groups(classes, index, counts, similarity).unionByName(
-        links_in_tiles(classes, busy.select("key", "sig").join(crowds, "key"), counts, similarity)
+    found = staged(members(index, similarity, busy.join(crowds, "key")))
+    crowds = staged(found.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > COMMON))
+    linked = links_in_groups(classes, found.join(crowds, "key", "left_anti"), counts, similarity).unionByName(
+        links_in_tiles(classes, found.join(crowds, "key"), counts, similarity)
     )
     partners = linked.groupBy(F.col("sig").alias("x")).agg(F.min("other").alias("other"), F.sum("more").alias("more"))
     of_class = staged(

@@ -1,6 +1,7 @@
 """Packed prefix rows of line dedup and their parity filter."""
 
 import numpy as np
+import pytest
 
 from landseries.llm import line_dedup as ld
 
@@ -43,3 +44,39 @@ def test_long_lines_apart_are_told_apart_by_parities(spark):
     assert (((both - apart) / 2 < 0.8 / 1.8 * both)[sizes[:-1] == sizes[1:]]).mean() > 0.9  # 64 bins pass all of them
     linked = {(r.doc_id, r.first_doc) for r in ld.matched_lines(docs).where("removed").collect()}
     assert linked == {(k + 1, k) for k in (0, 42, 84)}
+
+
+def test_blocks_leave_out_no_close_pair():
+    """Sets of one key whose parities and sizes are close enough are found by blocks as by single steps."""
+    rng = np.random.default_rng(7)
+    sizes = np.sort(np.concatenate([rng.integers(5, 300, 700), np.full(300, 90)]))
+    base = [rng.integers(0, 2**32, n, dtype=np.uint32) for n in sizes]
+    for k in range(0, len(base) - 1, 5):  # each fifth is close to the one before
+        n = min(len(base[k]), len(base[k + 1]))
+        base[k + 1][: n - n // 12] = base[k][: n - n // 12]
+    maps = ld.parities(np.concatenate(base), np.cumsum(sizes) - sizes, sizes)
+    key, sig, place = np.zeros(len(sizes), np.int64), rng.integers(0, 2**62, len(sizes)), sizes << 32
+    got = {}
+    for few in (10, 10**6):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(ld, "FEW", few)
+            got[few] = ld.compared(key, sig, place, maps, 0.8).to_pydict()
+    assert got[10] == got[10**6] and len(got[10]["sig"]) > 200
+
+
+def test_words_of_many_lines_are_not_copied_to_tiles_without_partners(spark, monkeypatch):
+    """Lines that share their rarest word only, more than COMMON and CROWD of them, leave no row for the tiles."""
+    monkeypatch.setattr(ld, "COMMON", 20)
+    tiled = []
+    tiles = ld.links_in_tiles
+    monkeypatch.setattr(ld, "links_in_tiles", lambda classes, crowded, *a: tiled.append(crowded.count()) or tiles(classes, crowded, *a))
+    apart = [" ".join(["rare", *(f"y{j}n{k}" for k in range(12))]) for j in range(150)] * 2  # each line twice, so no word is alone in its line
+    words = [" ".join(["rare", *(f"y{j}n{(k + 1) % 13}" for k in range(11)), f"z{j}"]) for j in range(150)]
+    rows = [(k, t) for k, t in enumerate(apart + words)]
+    sets = {k: set(t.split()) for k, t in rows}
+    want = {k: sum(len(x & y) >= 0.8 * len(x | y) - 1e-9 for o, y in sets.items() if o != k) for k, x in sets.items()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for crowd in (1 << 15, 40):
+        monkeypatch.setattr(ld, "CROWD", crowd)
+        assert {r.doc_id: r.n_links for r in ld.matched_lines(docs).collect()} == want
+    assert tiled == [0, 0] and sum(want.values()) >= 300
